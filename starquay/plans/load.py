@@ -53,7 +53,8 @@ def stage_arrivals(raw: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """
     before, after = Observation("raw"), Observation("clean")
     rows = F.count(F.lit(1)).alias("rows")
-    clean = tables.clean_arrivals(raw.observe(before, rows)).observe(after, rows)
+    dense = tables.dense_arrivals(raw)
+    clean = dense.observe(before, rows).na.drop("all").observe(after, rows)
     staged = stage(clean.select(*tables.ARRIVAL_COLUMNS), "arrivals")
     counts = {"before_rows": before.get["rows"], "after_rows": after.get["rows"]}
     return staged, counts

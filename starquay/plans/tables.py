@@ -38,11 +38,15 @@ def pick(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*(named(old).alias(new) for old, new in names.items()))
 
 
+def dense_arrivals(raw: DataFrame, threshold: float = MISSING_SHARE) -> DataFrame:
+    """Without the columns that are mostly missing. A column that a table needs
+    stays, however sparse it is in one load."""
+    return drop_sparse_columns(raw, threshold, keep=ARRIVAL_COLUMNS)
+
+
 def clean_arrivals(raw: DataFrame, threshold: float = MISSING_SHARE) -> DataFrame:
-    """Drop columns that are mostly missing, then rows without any value. A column
-    that a table needs stays, however sparse it is in one load."""
-    dense = drop_sparse_columns(raw, threshold, keep=ARRIVAL_COLUMNS)
-    return dense.na.drop("all")
+    """Without mostly missing columns, then without rows that hold no value."""
+    return dense_arrivals(raw, threshold).na.drop("all")
 
 
 def fact_rows(arrivals: DataFrame) -> DataFrame:
