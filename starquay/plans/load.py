@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
+from functools import partial
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +17,10 @@ from starquay.sources.readers import read_arrivals, read_csv, read_texts, stored
 from starquay.sources.sinks import append_new_rows, write_table
 from starquay.staging import stage
 
+T = TypeVar("T")
+# Tables that are written at a time.
+CONCURRENT_TABLES = 4
+
 
 @dataclass
 class RawFrames:
@@ -60,46 +68,63 @@ def stage_arrivals(raw: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     return staged, counts
 
 
-def finished_tables(raw: RawFrames) -> dict[str, DataFrame]:
-    """Every table of the given inputs, keys included."""
+def _at_once(steps: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent steps from several threads, so that the small jobs of one
+    table fill the cores that the last tasks of another leave idle."""
+    with ThreadPoolExecutor(max_workers=CONCURRENT_TABLES) as pool:
+        running = {name: pool.submit(step) for name, step in steps.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
+def _staged(raw: RawFrames) -> RawFrames:
+    """Inputs that several tables are made of, cleaned and written once."""
+    steps: dict[str, Callable[[], DataFrame]] = {}
+    if raw.arrivals is not None:
+        steps["arrivals"] = lambda: stage_arrivals(raw.arrivals)[0]
+    if raw.demographics is not None:
+        steps["demographics"] = lambda: stage(
+            tables.clean_demographics(raw.demographics), "demographics"
+        )
+    return replace(raw, **_at_once(steps))
+
+
+def _rows(raw: RawFrames) -> dict[str, DataFrame]:
+    """Rows of each table out of staged inputs, surrogate keys not yet made."""
     found: dict[str, DataFrame] = {}
     if raw.arrivals is not None:
-        found |= tables.arrival_tables(stage_arrivals(raw.arrivals)[0])
+        found["fact_immigration"] = tables.fact_rows(raw.arrivals)
+        found["dim_immigration_personal"] = tables.personal_rows(raw.arrivals)
+        found["dim_immigration_airline"] = tables.airline_rows(raw.arrivals)
+    if raw.demographics is not None:
+        found["dim_demog_population"] = tables.population_rows(raw.demographics)
+        found["dim_demog_statistics"] = tables.statistics_rows(raw.demographics)
     if raw.labels is not None:
         found |= tables.code_tables(raw.labels)
     if raw.temperature is not None:
         found["dim_temperature"] = tables.dim_temperature(raw.temperature)
-    if raw.demographics is not None:
-        clean = stage(tables.clean_demographics(raw.demographics), "demographics")
-        found |= tables.demographic_tables(clean)
     return found
 
 
 def full_load(raw: RawFrames, root: str) -> None:
     """Replace the tables of the given inputs under ``root``."""
-    for name, df in finished_tables(raw).items():
-        write_table(df, f"{root}/{name}", partition_by=TABLES[name].partition_by)
+
+    def store(name: str, rows: DataFrame) -> None:
+        done = tables.with_key(rows, name) if TABLES[name].id_column else rows
+        write_table(done, f"{root}/{name}", partition_by=TABLES[name].partition_by)
+
+    rows = _rows(_staged(raw))
+    _at_once({name: partial(store, name, df) for name, df in rows.items()})
 
 
 def refresh(spark: SparkSession, raw: RawFrames, root: str) -> None:
     """Append what is new in the given inputs to the tables under ``root``. Running
     it again with the same inputs changes nothing."""
-    rows: dict[str, DataFrame] = {}
-    if raw.arrivals is not None:
-        arrivals, _ = stage_arrivals(raw.arrivals)
-        rows["fact_immigration"] = tables.fact_rows(arrivals)
-        rows["dim_immigration_personal"] = tables.personal_rows(arrivals)
-        rows["dim_immigration_airline"] = tables.airline_rows(arrivals)
-    if raw.labels is not None:
-        rows |= tables.code_tables(raw.labels)
-    if raw.temperature is not None:
-        rows["dim_temperature"] = tables.dim_temperature(raw.temperature)
-    if raw.demographics is not None:
-        clean = stage(tables.clean_demographics(raw.demographics), "demographics")
-        rows["dim_demog_population"] = tables.population_rows(clean)
-        rows["dim_demog_statistics"] = tables.statistics_rows(clean)
-    for name, df in rows.items():
-        append_new_rows(spark, tables.typed(df, name), root, TABLES[name])
+
+    def store(name: str, rows: DataFrame) -> None:
+        append_new_rows(spark, tables.typed(rows, name), root, TABLES[name])
+
+    rows = _rows(_staged(raw))
+    _at_once({name: partial(store, name, df) for name, df in rows.items()})
 
 
 def check(spark: SparkSession, root: str) -> DataFrame:

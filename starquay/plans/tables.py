@@ -143,7 +143,8 @@ def dim_temperature(raw: DataFrame, country: str = COUNTRY) -> DataFrame:
         TEMPERATURE_KEY,
         [F.col("AverageTemperature").try_cast("double").asc()],
     )
-    date = convert(F.col("dt"), single.schema["dt"].dataType, TABLES["dim_temperature"].schema["dt"].dataType)
+    schema = TABLES["dim_temperature"].schema
+    date = convert(F.col("dt"), single.schema["dt"].dataType, schema["dt"].dataType)
     rows = pick(single, TEMPERATURE_NAMES).withColumns(
         {
             "dt": date,
@@ -153,7 +154,7 @@ def dim_temperature(raw: DataFrame, country: str = COUNTRY) -> DataFrame:
             "month": F.month(date),
         }
     )
-    return cast_to_schema(rows, TABLES["dim_temperature"].schema)
+    return cast_to_schema(rows, schema)
 
 
 def code_tables(texts: DataFrame) -> dict[str, DataFrame]:
@@ -164,18 +165,3 @@ def code_tables(texts: DataFrame) -> dict[str, DataFrame]:
         "city_code": labels.city_codes(entries),
         "state_code": labels.state_codes(entries),
     }
-
-
-def arrival_tables(arrivals: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "fact_immigration": fact_immigration(arrivals),
-        "dim_immigration_personal": dim_immigration_personal(arrivals),
-        "dim_immigration_airline": dim_immigration_airline(arrivals),
-    }
-
-
-def demographic_tables(demographics: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "dim_demog_population": dim_demog_population(demographics),
-        "dim_demog_statistics": dim_demog_statistics(demographics),
-    }

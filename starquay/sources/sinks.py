@@ -11,6 +11,8 @@ from starquay.schemas import TABLES, Table
 from starquay.sources.readers import read_table
 from starquay.staging import stage
 
+_KEY = "__key"
+
 
 def write_table(
     df: DataFrame,
@@ -38,20 +40,17 @@ def write_table(
 def new_rows(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``incoming`` whose key does not occur in ``existing``.
 
-    Keys compare NULL-safe: a row without a key is new once, not on every load.
-    Both sides are cut to one row per key before they meet, so no key is heavy;
-    the keys found new are staged, which leaves the last join a plain one of two
-    scans that AQE may broadcast or split.
+    Keys are compared as structs, in which NULL equals NULL: a row without a key
+    is new once, not on every load. Both sides are cut to one row per key before
+    they meet, so no key is heavy, and that shuffle serves the join as well. The
+    keys found new are staged, which leaves the last join a plain one of two scans
+    that AQE may broadcast or split.
     """
-    asked, known = incoming.select(*key).distinct(), existing.select(*key).distinct()
-    fresh = stage(_join_on_key(asked, known, key, "left_anti"), "fresh_keys")
-    return _join_on_key(incoming, fresh, key, "left_semi")
-
-
-def _join_on_key(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
-    other = right.select(*(named(c).alias(f"__{c}") for c in key))
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
-    return left.join(other, same, how)
+    keyed = incoming.withColumn(_KEY, F.struct(*map(named, key)))
+    asked = keyed.select(_KEY).distinct()
+    known = existing.select(F.struct(*map(named, key)).alias(_KEY)).distinct()
+    fresh = stage(asked.join(known, _KEY, "left_anti"), "fresh_keys")
+    return keyed.join(fresh, _KEY, "left_semi").drop(_KEY)
 
 
 def append_new_rows(

@@ -16,19 +16,19 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
+    """The folder named in ``spark.checkpoint.dir``, or set on the context.
 
     Only a local session may do without that setting; on a cluster a folder that
     one machine alone can see would lose data, so it is an error.
     """
-    folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="starquay-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="starquay-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:
