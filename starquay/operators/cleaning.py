@@ -13,15 +13,15 @@ _ROWS = "__rows"
 _RANK = "__rank"
 
 
-def missing_profile(df: DataFrame) -> DataFrame:
+def missing_profile(df: DataFrame, ascending: bool = False) -> DataFrame:
     """(column_name, missing_count, missing_percentage) of the columns that have
-    NULLs, most missing first.
+    NULLs, most missing first unless ``ascending``.
 
     One aggregate over one scan. ``count(*) - count(column)`` rather than a sum of
     flags: Spark can take both counts from Parquet footers where aggregate
     push-down is on. NaN is a value.
     """
-    rows = F.count(F.lit(1))
+    rows, share = F.count(F.lit(1)), "missing_percentage"
     totals = df.agg(
         rows.alias(_ROWS), *((rows - F.count(named(c))).alias(c) for c in df.columns)
     )
@@ -33,9 +33,9 @@ def missing_profile(df: DataFrame) -> DataFrame:
         .select(
             "column_name",
             "missing_count",
-            percent_of(F.col("missing_count"), F.col(_ROWS)).alias("missing_percentage"),
+            percent_of(F.col("missing_count"), F.col(_ROWS)).alias(share),
         )
-        .orderBy(F.desc("missing_percentage"), "column_name")
+        .orderBy(F.asc(share) if ascending else F.desc(share), "column_name")
     )
 
 

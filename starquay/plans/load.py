@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import partial
-from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,7 @@ from starquay.sources.readers import read_arrivals, read_csv, read_texts, stored
 from starquay.sources.sinks import append_new_rows, write_table
 from starquay.staging import stage
 
-T = TypeVar("T")
-# Tables that are written at a time.
-CONCURRENT_TABLES = 4
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -42,12 +40,16 @@ def read_raw(
     arrivals_fallback: str | None = None,
 ) -> RawFrames:
     """Raw frames from paths; each data set has its own."""
-    return RawFrames(
-        arrivals and read_arrivals(spark, arrivals, arrivals_format, arrivals_fallback),
-        temperature and read_csv(spark, temperature, RAW_TEMPERATURE),
-        demographics and read_csv(spark, demographics, RAW_DEMOGRAPHICS, ";"),
-        labels and read_texts(spark, labels),
-    )
+    raw = RawFrames()
+    if arrivals:
+        raw.arrivals = read_arrivals(spark, arrivals, arrivals_format, arrivals_fallback)
+    if temperature:
+        raw.temperature = read_csv(spark, temperature, RAW_TEMPERATURE)
+    if demographics:
+        raw.demographics = read_csv(spark, demographics, RAW_DEMOGRAPHICS, ";")
+    if labels:
+        raw.labels = read_texts(spark, labels)
+    return raw
 
 
 def stage_arrivals(raw: DataFrame) -> tuple[DataFrame, dict[str, int]]:
@@ -68,52 +70,73 @@ def stage_arrivals(raw: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     return staged, counts
 
 
-def _at_once(steps: dict[str, Callable[[], T]]) -> dict[str, T]:
+# What is done with the rows of a table: name, rows without surrogate key.
+Store = Callable[[str, DataFrame], None]
+
+
+def _at_once(steps: list[Callable[[], None]]) -> None:
     """Run independent steps from several threads, so that the small jobs of one
     table fill the cores that the last tasks of another leave idle."""
-    with ThreadPoolExecutor(max_workers=CONCURRENT_TABLES) as pool:
-        running = {name: pool.submit(step) for name, step in steps.items()}
-        return {name: future.result() for name, future in running.items()}
-
-
-def _staged(raw: RawFrames) -> RawFrames:
-    """Inputs that several tables are made of, cleaned and written once."""
-    steps: dict[str, Callable[[], DataFrame]] = {}
-    if raw.arrivals is not None:
-        steps["arrivals"] = lambda: stage_arrivals(raw.arrivals)[0]
-    if raw.demographics is not None:
-        steps["demographics"] = lambda: stage(
-            tables.clean_demographics(raw.demographics), "demographics"
-        )
-    return replace(raw, **_at_once(steps))
-
-
-def _rows(raw: RawFrames) -> dict[str, DataFrame]:
-    """Rows of each table out of staged inputs, surrogate keys not yet made."""
-    found: dict[str, DataFrame] = {}
-    if raw.arrivals is not None:
-        found["fact_immigration"] = tables.fact_rows(raw.arrivals)
-        found["dim_immigration_personal"] = tables.personal_rows(raw.arrivals)
-        found["dim_immigration_airline"] = tables.airline_rows(raw.arrivals)
-    if raw.demographics is not None:
-        found["dim_demog_population"] = tables.population_rows(raw.demographics)
-        found["dim_demog_statistics"] = tables.statistics_rows(raw.demographics)
-    if raw.labels is not None:
-        found |= tables.code_tables(raw.labels)
-    if raw.temperature is not None:
-        found["dim_temperature"] = tables.dim_temperature(raw.temperature)
-    return found
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        for running in [pool.submit(step) for step in steps]:
+            running.result()
+
+
+def _store_all(store: Store, rows: dict[str, DataFrame]) -> None:
+    _at_once([partial(store, name, df) for name, df in rows.items()])
+
+
+def load_arrivals(raw: DataFrame, store: Store) -> None:
+    arrivals, counts = stage_arrivals(raw)
+    log.info("arrivals: %(before_rows)d rows, %(after_rows)d after cleaning", counts)
+    _store_all(
+        store,
+        {
+            "fact_immigration": tables.fact_rows(arrivals),
+            "dim_immigration_personal": tables.personal_rows(arrivals),
+            "dim_immigration_airline": tables.airline_rows(arrivals),
+        },
+    )
+
+
+def load_temperature(raw: DataFrame, store: Store) -> None:
+    store("dim_temperature", tables.dim_temperature(raw))
+
+
+def load_demographics(raw: DataFrame, store: Store) -> None:
+    clean = stage(tables.clean_demographics(raw), "demographics")
+    _store_all(
+        store,
+        {
+            "dim_demog_population": tables.population_rows(clean),
+            "dim_demog_statistics": tables.statistics_rows(clean),
+        },
+    )
+
+
+def load_labels(raw: DataFrame, store: Store) -> None:
+    _store_all(store, tables.code_tables(raw))
+
+
+def _load(raw: RawFrames, store: Store) -> None:
+    steps = {
+        load_arrivals: raw.arrivals,
+        load_temperature: raw.temperature,
+        load_demographics: raw.demographics,
+        load_labels: raw.labels,
+    }
+    _at_once([partial(step, df, store) for step, df in steps.items() if df is not None])
 
 
 def full_load(raw: RawFrames, root: str) -> None:
     """Replace the tables of the given inputs under ``root``."""
 
     def store(name: str, rows: DataFrame) -> None:
-        done = tables.with_key(rows, name) if TABLES[name].id_column else rows
-        write_table(done, f"{root}/{name}", partition_by=TABLES[name].partition_by)
+        table = TABLES[name]
+        done = tables.with_key(rows, name) if table.id_column else rows
+        write_table(done, f"{root}/{name}", partition_by=table.partition_by)
 
-    rows = _rows(_staged(raw))
-    _at_once({name: partial(store, name, df) for name, df in rows.items()})
+    _load(raw, store)
 
 
 def refresh(spark: SparkSession, raw: RawFrames, root: str) -> None:
@@ -123,8 +146,7 @@ def refresh(spark: SparkSession, raw: RawFrames, root: str) -> None:
     def store(name: str, rows: DataFrame) -> None:
         append_new_rows(spark, tables.typed(rows, name), root, TABLES[name])
 
-    rows = _rows(_staged(raw))
-    _at_once({name: partial(store, name, df) for name, df in rows.items()})
+    _load(raw, store)
 
 
 def check(spark: SparkSession, root: str) -> DataFrame:

@@ -17,6 +17,11 @@ def test_missing_profile(spark):
     assert found == [("a.b", 3, 75.0), ("Median Age", 1, 25.0), ("c", 1, 25.0)]
 
 
+def test_missing_profile_ascending(spark):
+    found = cleaning.missing_profile(gaps(spark), ascending=True).collect()
+    assert [row.column_name for row in found] == ["Median Age", "c", "a.b"]
+
+
 def test_missing_profile_of_nothing(spark):
     assert cleaning.missing_profile(gaps(spark).where("false")).collect() == []
 
