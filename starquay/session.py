@@ -17,17 +17,24 @@ SETTINGS = {
 }
 
 
+# Above this, the bookkeeping of maps times reduces costs more than larger partitions,
+# which spill.
+MAX_PARTITIONS = 100_000
+
+
 def sized_for(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle settings for a load of ``input_bytes``.
 
     The initial partition count is set so that one partition of a full shuffle of
     the input is about ``partition_bytes``, which fits in the memory of one task;
-    AQE then merges what turns out to be smaller.
+    AQE then merges what turns out to be smaller, up to that size. At 100 TB the
+    count is at its limit and a partition holds about 1 GB.
     """
-    partitions = max(200, -(-input_bytes // partition_bytes))
+    partitions = min(MAX_PARTITIONS, max(200, -(-input_bytes // partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }
 

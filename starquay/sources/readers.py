@@ -12,6 +12,7 @@ from starquay.schemas import RAW_ARRIVALS, TABLES
 
 _PATH_MISSING = "PATH_NOT_FOUND"
 _SOURCE_MISSING = "DATA_SOURCE_NOT_FOUND"
+_NO_FILES = "UNABLE_TO_INFER_SCHEMA"
 
 
 def _absent(error: Exception) -> bool:
@@ -75,15 +76,21 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_table_as_stored(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored table with the schema found in its files, for checks."""
-    partition = TABLES[name].partition_by if name in TABLES else None
-    reader = spark.read
-    if partition:
-        # Directory names carry no type; only the partition column is declared.
-        stored = spark.read.parquet(f"{root}/{name}").schema
-        stored[partition].dataType = TABLES[name].schema[partition].dataType
-        reader = reader.schema(stored)
-    return reader.parquet(f"{root}/{name}")
+    """A stored table with the schema found in its files, for checks. A table
+    without files has its expected schema and no rows."""
+    path, partition = f"{root}/{name}", TABLES[name].partition_by
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != _NO_FILES:
+            raise
+        return read_table(spark, root, name)
+    if partition not in found.columns:
+        return found
+    # Directory names carry no type, so that of the partition column is declared.
+    expected = TABLES[name].schema[partition]
+    fields = [expected if field.name == partition else field for field in found.schema]
+    return spark.read.schema(StructType(fields)).parquet(path)
 
 
 def stored_tables(spark: SparkSession, root: str, names=tuple(TABLES)) -> dict[str, DataFrame]:

@@ -5,8 +5,9 @@ import pytest
 
 from starquay import staging
 from starquay.__main__ import main
-from starquay.plans import load, quality
+from starquay.plans import analytics, load, quality
 from starquay.schemas import RAW_ARRIVALS, RAW_DEMOGRAPHICS, RAW_TEMPERATURE, TABLES
+from starquay.session import sized_for
 from starquay.sources import readers, sinks
 
 # Rows of each table out of the domain rows.
@@ -133,6 +134,32 @@ def test_checks_find_empty_tables(spark, warehouse, tmp_path):
         load.check(spark, root)
 
 
+def test_checks_take_a_table_without_files_and_one_without_partitions(spark, warehouse, tmp_path):
+    root = str(tmp_path / "copy")
+    shutil.copytree(warehouse, root)
+    fact = readers.read_table(spark, warehouse, "fact_immigration")
+    sinks.write_table(fact.where("false"), f"{root}/fact_immigration", partition_by="state_code")
+    with pytest.raises(quality.QualityError, match="empty tables: fact_immigration"):
+        load.check(spark, root)
+    sinks.write_table(fact.drop("state_code"), f"{root}/fact_immigration")
+    with pytest.raises(quality.QualityError, match="fact_immigration: expected"):
+        load.check(spark, root)
+
+
+def test_preview_is_a_filter_in_the_scan(spark, warehouse):
+    fact = readers.read_table(spark, warehouse, "fact_immigration")
+    first = analytics.first_rows(fact, TABLES["fact_immigration"], 2)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(immigration_id,2)" in plan
+    assert first.count() == 2
+
+
+def test_shuffle_sizes_grow_with_the_input():
+    sizes = (1 << 30, 10 << 40, 100 << 40)
+    found = [sized_for(size)["spark.sql.shuffle.partitions"] for size in sizes]
+    assert found == ["200", "40960", "100000"]
+
+
 def test_schema_listing(spark, warehouse):
     tables = readers.stored_tables(spark, warehouse)
     found = quality.schema_listing(spark, tables).where("table_name = 'city_code'")

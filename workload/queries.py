@@ -14,13 +14,7 @@ from pyspark.sql import functions as F
 from starquay.functions import columns as C
 from starquay.operators import cleaning, keys, labels
 from starquay.plans import analytics, load, quality, tables
-from starquay.schemas import (
-    RAW_ARRIVALS,
-    RAW_DEMOGRAPHICS,
-    RAW_TEMPERATURE,
-    TABLES,
-    columns,
-)
+from starquay.schemas import RAW_DEMOGRAPHICS, RAW_TEMPERATURE, TABLES, columns
 from starquay.sources import readers, sinks
 from starquay.staging import new_path
 from workload import standins
