@@ -6,8 +6,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from starquay.functions.columns import named
 from starquay.schemas import RAW_ARRIVALS, TABLES
 
 _PATH_MISSING = "PATH_NOT_FOUND"
@@ -44,9 +45,22 @@ def read_arrivals(
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, separator: str = ","
 ) -> DataFrame:
-    """CSV with a header line and declared columns: no pass to infer types. A value
-    that does not fit its type is NULL."""
-    return spark.read.schema(schema).csv(path, header=True, sep=separator)
+    """The declared columns of CSV files with a header line, by name.
+
+    A declared schema alone would be laid over the columns by position, whatever
+    the header says. So the header of the first file gives the order, and Spark
+    checks that of every file against it. No pass to infer types; a value that does
+    not fit its type is NULL. Columns that are not declared are not parsed.
+    """
+    options = {"header": True, "sep": separator}
+    declared = {field.name: field for field in schema}
+    names = spark.read.csv(path, **options).columns
+    layout = [declared.get(name, StructField(name, StringType())) for name in names]
+    return (
+        spark.read.schema(StructType(layout))
+        .csv(path, enforceSchema=False, **options)
+        .select(*(named(name) for name in declared if name in names))
+    )
 
 
 def read_csv_inferred(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:

@@ -28,6 +28,17 @@ def test_arrivals_as_csv_have_declared_types(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [(1.0, 2016.0), (None, 2017.0)]
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    schema = columns("a double, b string, c string")
+    (tmp_path / "1.csv").write_text(",c,a,other\n0,see,1.5,x\n")
+    found = readers.read_csv(spark, str(tmp_path), schema)
+    assert found.dtypes == [("a", "double"), ("c", "string")]
+    assert [tuple(r) for r in found.collect()] == [(1.5, "see")]
+    (tmp_path / "2.csv").write_text(",a,c,other\n0,2.5,sea,x\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path), schema).collect()
+
+
 def test_semicolons_and_blanks_in_names(spark, tmp_path):
     head = ";".join(RAW_DEMOGRAPHICS.names)
     (tmp_path / "d.csv").write_text(head + "\nSilver Spring;Maryland;33.8;1;2;3;;5;2.6;MD;White;9\n")
