@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from starquay.plans.load import check, full_load, read_raw, refresh
+from starquay.plans.load import check, full_load, read_raw, refresh, tables_of
 from starquay.session import build_session, sized_for
 from starquay.staging import discard
 
@@ -37,7 +37,7 @@ def main(arguments: list[str] | None = None) -> None:
             refresh(spark, raw, options.output)
         else:
             full_load(raw, options.output)
-        check(spark, options.output).show()
+        check(spark, options.output, tables_of(raw)).show()
     finally:
         discard(spark)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
@@ -19,6 +19,14 @@ from starquay.staging import stage
 
 log = logging.getLogger(__name__)
 
+# Tables made of each input.
+TABLES_OF = {
+    "arrivals": ("fact_immigration", "dim_immigration_personal", "dim_immigration_airline"),
+    "temperature": ("dim_temperature",),
+    "demographics": ("dim_demog_population", "dim_demog_statistics"),
+    "labels": ("country_code", "city_code", "state_code"),
+}
+
 
 @dataclass
 class RawFrames:
@@ -149,10 +157,18 @@ def refresh(spark: SparkSession, raw: RawFrames, root: str) -> None:
     _load(raw, store)
 
 
-def check(spark: SparkSession, root: str) -> DataFrame:
-    """Raise unless all nine tables exist, have their schema and hold rows; else
-    return their row counts."""
-    stored = stored_tables(spark, root)
-    quality.require_schemas(spark, stored)
+def tables_of(raw: RawFrames) -> list[str]:
+    """Names of the tables that a load of these inputs writes."""
+    return [
+        name for given, names in TABLES_OF.items() if getattr(raw, given) is not None for name in names
+    ]
+
+
+def check(spark: SparkSession, root: str, names: Iterable[str] = tuple(TABLES)) -> DataFrame:
+    """Raise unless the tables exist, have their schema and hold rows; else return
+    their row counts."""
+    expected = {name: TABLES[name].schema for name in names}
+    stored = stored_tables(spark, root, expected)
+    quality.require_schemas(spark, stored, expected)
     quality.require_rows(stored)
     return quality.row_counts(stored)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -107,7 +109,9 @@ def read_table_as_stored(spark: SparkSession, root: str, name: str) -> DataFrame
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
-def stored_tables(spark: SparkSession, root: str, names=tuple(TABLES)) -> dict[str, DataFrame]:
+def stored_tables(
+    spark: SparkSession, root: str, names: Iterable[str] = tuple(TABLES)
+) -> dict[str, DataFrame]:
     """Reader per registered table that exists under ``root``. Goes by the registry,
     so that a table that is absent shows."""
     found = {}

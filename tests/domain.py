@@ -1,6 +1,11 @@
 """Hand-written raw rows that hold the edges the cleaning is for."""
 
-from starquay.schemas import RAW_ARRIVALS, RAW_DEMOGRAPHICS, RAW_TEMPERATURE
+from starquay.schemas import (
+    RAW_ARRIVALS,
+    RAW_DEMOGRAPHICS,
+    RAW_TEMPERATURE,
+    REQUIRED_DEMOGRAPHICS,
+)
 
 NAN = float("nan")
 
@@ -27,14 +32,15 @@ ARRIVALS = [
     {},
     dict(occup="STU"),
 ]
+MONTH = dict(dt="2013-01-01", AverageTemperature="-3.5", City="Akron", Country="United States")
 TEMPERATURES = [
-    dict(dt="2013-01-01", AverageTemperature="-3.5", AverageTemperatureUncertainty="0.2", City="Akron", Country="United States"),
-    dict(dt="2013-01-01", AverageTemperature="-20", AverageTemperatureUncertainty="0.9", City="Akron", Country="United States"),
-    dict(dt="1743-11-01", AverageTemperature="3.2", City="akron", Country="United States"),
-    dict(dt="2013-02-01", AverageTemperature=None, City="Akron", Country="United States"),
-    dict(dt="2013-02-01", AverageTemperature="7.0", City="Oslo", Country="Norway"),
-    dict(dt="soon", AverageTemperature="warm", City="Akron", Country="United States"),
-    dict(dt="2013-03-01", AverageTemperature="20.5", City="Homer", Country="United States"),
+    MONTH | dict(AverageTemperatureUncertainty="0.2"),
+    MONTH | dict(AverageTemperature="-20", AverageTemperatureUncertainty="0.9"),
+    MONTH | dict(dt="1743-11-01", AverageTemperature="3.2", City="akron"),
+    MONTH | dict(dt="2013-02-01", AverageTemperature=None),
+    MONTH | dict(dt="2013-02-01", AverageTemperature="7.0", City="Oslo", Country="Norway"),
+    MONTH | dict(dt="soon", AverageTemperature="warm"),
+    MONTH | dict(dt="2013-03-01", AverageTemperature="20.5", City="Homer"),
 ]
 TOWN = {
     "City": "Silver Spring", "State": "Maryland", "Median Age": "33.8", "Male Population": "40601",
@@ -42,11 +48,12 @@ TOWN = {
     "Foreign-born": "30908", "Average Household Size": "2.6", "State Code": "MD", "Race": "White",
     "Count": "37756",
 }
+RACES = ["White", "Asian", "Black", "Native", "Other"]
 DEMOGRAPHICS = [
-    *(TOWN | {"Race": race, "Count": str(n)} for n, race in enumerate(["White", "Asian", "Black", "Native", "Other"])),
+    *(TOWN | {"Race": race, "Count": str(n)} for n, race in enumerate(RACES)),
     TOWN | {"Count": "99"},
     TOWN | {"City": "Akron", "Median Age": None, "Male Population": "7"},
-    *(TOWN | {"City": "Gap", column: None} for column in ("Male Population", "Female Population", "Foreign-born", "Average Household Size", "Number of Veterans")),
+    *(TOWN | {"City": "Gap", column: None} for column in REQUIRED_DEMOGRAPHICS),
 ]
 LABELS = """  value i94cntyl\r
    582 =  'MEXICO'\r

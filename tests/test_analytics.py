@@ -16,12 +16,26 @@ def listed(df):
 
 @pytest.fixture(scope="module")
 def codes(spark):
-    return frame(spark, "code string, city string", ("AKR", "AKRON"), ("CAK", "AKRON"), ("NYC", "NEW YORK"), ("HOM", "HOMER"))
+    return frame(
+        spark,
+        "code string, city string",
+        ("AKR", "AKRON"),
+        ("CAK", "AKRON"),
+        ("NYC", "NEW YORK"),
+        ("HOM", "HOMER"),
+    )
 
 
 @pytest.fixture(scope="module")
 def temperature(spark):
-    return frame(spark, "avg_temp double, city string", (1.5, "AKRON"), (None, "AKRON"), (9.0, "NEW YORK"), (3.0, "OSLO"))
+    return frame(
+        spark,
+        "avg_temp double, city string",
+        (1.5, "AKRON"),
+        (None, "AKRON"),
+        (9.0, "NEW YORK"),
+        (3.0, "OSLO"),
+    )
 
 
 def arrivals(spark, **counts):
@@ -30,8 +44,10 @@ def arrivals(spark, **counts):
 
 
 def test_visa_types_count_each_pair(spark):
-    airline = frame(spark, "cic_id bigint, visa_type string", (1, "WT"), (1, "WT"), (1, "B2"), (2, "B1"), (3, "B1"), (None, "X"))
-    fact = frame(spark, "cic_id bigint, visa int", (1, 2), (1, 1), (1, None), (2, None), (None, 1))
+    members = [(1, "WT"), (1, "WT"), (1, "B2"), (2, "B1"), (3, "B1"), (None, "X")]
+    airline = frame(spark, "cic_id bigint, visa_type string", *members)
+    arrived = [(1, 2), (1, 1), (1, None), (2, None), (None, 1)]
+    fact = frame(spark, "cic_id bigint, visa int", *arrived)
     assert listed(analytics.visa_type_usage(airline, fact)) == [("WT", 4), ("B2", 2), ("B1", 0)]
 
 
@@ -42,7 +58,9 @@ def test_a_heavy_record_id_is_counted_in_full(spark):
 
 
 def test_largest_cities(spark):
-    people = frame(spark, "city string, foreign_born int, male_population int, female_population int", ("A", 1, 10, 5), ("A", 1, 5, 10), ("B", 2, 9, 9), ("C", 3, None, 1))
+    schema = "city string, foreign_born int, male_population int, female_population int"
+    rows = [("A", 1, 10, 5), ("A", 1, 5, 10), ("B", 2, 9, 9), ("C", 3, None, 1)]
+    people = frame(spark, schema, *rows)
     assert listed(analytics.largest_cities(people)) == [("B", 2, 18), ("A", 1, 15), ("C", 3, None)]
     assert len(listed(analytics.largest_cities(people, 1))) == 1
 

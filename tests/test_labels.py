@@ -1,3 +1,5 @@
+import random
+
 from starquay.operators import labels
 from starquay.plans.tables import code_tables
 from starquay.sources.readers import read_texts, text_lines
@@ -97,6 +99,25 @@ def test_long_section(spark):
     assert found.count() == 20000
 
 
+def test_any_label_survives_the_round_trip(spark):
+    rng = random.Random(5)
+    signs = "ab Z9,;=()'.-&/"
+    texts, expected = [], []
+    for n in range(200):
+        lines = []
+        for code in rng.sample(range(1000), rng.randint(1, 12)):
+            label = "".join(rng.choice(signs) for _ in range(rng.randint(1, 30))).strip() or "x"
+            expected.append((f"file-{n}", f"s{n}", str(code), label))
+            pad = " " * rng.randint(0, 4)
+            quote = rng.choice(["", "'"])
+            doubled = label.replace("'", "''")
+            lines.append(f"{pad}{quote}{code}{quote}{pad}=\t'{doubled}{pad}'{pad}")
+        end = rng.choice([" ;", "\n;", ""])
+        texts.append(f"/* text {n} */\n value s{n}\n" + "\n".join(lines) + end + "\n")
+    found = entries(spark, *texts).select("file", "section", "code", "label")
+    assert listed(found) == sorted(expected)
+
+
 def test_placeholders_are_flagged_not_dropped(spark):
     found = labels.country_codes(entries(spark, TEXT))
     flagged = found.where(labels.is_placeholder(found["country"]))

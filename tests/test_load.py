@@ -114,6 +114,16 @@ def test_command_line(spark, raw, tmp_path, monkeypatch):
     assert {r.table_name: r.records for r in load.check(spark, str(tmp_path)).collect()} == ROWS
 
 
+def test_one_data_set_is_loaded_and_checked_alone(spark, raw, tmp_path):
+    some = load.read_raw(spark, labels=f"{raw}/labels.txt", temperature=f"{raw}/temperature")
+    load.full_load(some, str(tmp_path))
+    found = load.check(spark, str(tmp_path), load.tables_of(some)).collect()
+    names = ["dim_temperature", "country_code", "city_code", "state_code"]
+    assert {r.table_name: r.records for r in found} == {name: ROWS[name] for name in names}
+    assert list(readers.stored_tables(spark, str(tmp_path))) == names
+    assert sorted(name for names in load.TABLES_OF.values() for name in names) == sorted(TABLES)
+
+
 def test_checks_name_the_table_at_fault(spark, warehouse, tmp_path):
     root = str(tmp_path / "copy")
     shutil.copytree(warehouse, root)
