@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starquay.llm.decontaminate import contaminated
 from starquay.llm.jaccard_join import jaccard_components
+from starquay.llm.line_quality import score_quality
+from starquay.llm.pfair_mix import mix_sources
+from starquay.llm.secret_scan import find_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +27,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+@_query
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
