@@ -62,8 +62,10 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     """(row, template token, value, is placeholder) of every token.
 
     A number starts with a digit, and may hold . or , between digits. A unit follows a
-    number. A name starts with a capital letter and follows another token of its
-    sentence without a sentence mark between; a first word is no name.
+    number. A name is a capital letter and a small one, and follows another token of its
+    sentence without a sentence mark between; a first word is no name. A passage put into
+    a sentence starts with a capital there, so windows that start at a name are also made
+    with the word itself.
     """
     data, offsets = raw_bytes(texts)
     none = np.zeros(0, _U)
@@ -73,7 +75,12 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     inside = np.zeros(len(data), bool)
     inside[1:-1] = ((data == 44) | (data == 46))[1:-1] & digit[:-2] & digit[2:]
     row, start, end = runs(_PART[data] | inside, offsets)
-    value = hashes(FOLD[data], start, end)
+    folded = FOLD[data]
+    # Small letters for the capitals of Latin-1, which share the first of two bytes.
+    capital = np.zeros(len(data), bool)
+    capital[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    folded[capital] += 32
+    value = hashes(folded, start, end)
     number = digit[start]
     follows = np.zeros(len(start), bool)
     follows[1:] = row[1:] == row[:-1]
@@ -83,9 +90,11 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     stops = np.concatenate([[0], np.cumsum(_STOP[data])])
     same = follows.copy()
     same[1:] &= stops[start[1:]] == stops[end[:-1]]
-    first = data[start]
-    second = data[np.minimum(start + 1, len(data) - 1)]
-    capital = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+    at = [data[np.minimum(start + k, len(data) - 1)] for k in range(4)]
+    wide = (at[0] == 0xC3) & (at[1] >= 0x80) & (at[1] <= 0x9E)
+    next_one, after_next = np.where(wide, at[2], at[1]), np.where(wide, at[3], at[2])
+    small = ((next_one >= 97) & (next_one <= 122)) | ((next_one == 0xC3) & (after_next >= 0x9F))
+    capital = (((at[0] >= 65) & (at[0] <= 90)) | wide) & small & (end - start > 1 + wide)
     name = same & capital & ~number & ~unit
     token = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, value)))
     return row, token, value, number | unit | name
@@ -101,9 +110,14 @@ def _windows_of(texts: pa.Array, sizes: list[int], known: np.ndarray | None, who
     row, token, value, slot = template(texts)
     count = np.bincount(row, minlength=len(texts)) if len(row) else np.zeros(len(texts), np.int64)
     out = []
+    named = np.flatnonzero(token == _NAME)
     for size in sizes:
         hashed, first = windows(token, row, size)
         exact, _ = windows(value, row, size)
+        again = np.flatnonzero(np.isin(first, named)) if known is not None else first[:0]
+        if len(again):
+            other, _ = windows(token, row, size, lead=value)
+            hashed, exact, first = (np.concatenate([x, y]) for x, y in ((hashed, other[again]), (exact, exact[again]), (first, first[again])))
         slots_before = np.concatenate([[0], np.cumsum(slot)])
         literals = size - (slots_before[first + size] - slots_before[first])
         hashed = mix(np.where(literals >= min(MIN_LITERALS, size), hashed, mix(exact)) + _U(size))

@@ -118,14 +118,17 @@ def words(texts: pa.Array) -> Words:
     return Words(data, offsets, row, start, end, hashes(data, start, end))
 
 
-def windows(values: np.ndarray, row: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every window of ``size`` values of one row, and the first's index."""
+def windows(
+    values: np.ndarray, row: np.ndarray, size: int, lead: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every window of ``size`` values of one row, and the first's index. ``lead``
+    replaces the first value of each window."""
     n = len(values) - size + 1
     if n <= 0:
         return np.zeros(0, _U), np.zeros(0, np.int64)
     total = np.zeros(n, _U)
     for i in range(size):
-        total = mix(total * _U(3) + values[i : i + n])
+        total = mix(total * _U(3) + (values if i or lead is None else lead)[i : i + n])
     first = np.flatnonzero(row[:n] == row[size - 1 :])
     return total[first], first
 
