@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starquay.llm.backoff_scores import backoff_scores
 from starquay.llm.decontaminate import contaminated
+from starquay.llm.fuzzy_passages import shared_passages
+from starquay.llm.html_text import extract_text
 from starquay.llm.jaccard_join import jaccard_components
+from starquay.llm.language_mixture import identify_languages
 from starquay.llm.line_quality import score_quality
+from starquay.llm.nearest import nearest
 from starquay.llm.pfair_mix import mix_sources
 from starquay.llm.secret_scan import find_secrets
 
@@ -32,21 +37,46 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+@_query
+def op6_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_query
+def op8_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
