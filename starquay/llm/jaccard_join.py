@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starquay.llm.components import components
@@ -38,6 +38,9 @@ _BLOCK = 1 << 14
 REGION_SETS = 4000
 REGION_SHINGLES = 4_000_000
 _RING_LEVELS = 3
+# Buckets of a set's image: 2^6, and 2^9 for sets of at least this many shingles.
+_IMAGE_BITS = (6, 9)
+_LONG_SET = 1000
 
 
 def _usual(df: DataFrame, size: int, bits: int) -> np.ndarray:
@@ -79,11 +82,22 @@ def _usual(df: DataFrame, size: int, bits: int) -> np.ndarray:
     return usual
 
 
+def _image(bucket: np.ndarray) -> bytes:
+    """Counts of a set's shingles by bucket, in one byte each, or four where they need it."""
+    bits = _IMAGE_BITS[len(bucket) >= _LONG_SET]
+    counts = np.bincount(bucket >> (_IMAGE_BITS[1] - bits), minlength=1 << bits)
+    return counts.astype(np.uint8 if counts.max() < 256 else "<u4").tobytes()
+
+
+def _counts(image: bytes) -> np.ndarray:
+    return np.frombuffer(image, np.uint8 if len(image) in (64, 512) else "<u4").astype(np.int32)
+
+
 def _prints(df: DataFrame, size: int, num: int, den: int, bits: int) -> DataFrame:
-    """(doc_id, n, f1, f2, keys) of every row: size and fingerprint of its shingle set,
-    and the set's first shingles in the common order."""
+    """(doc_id, n, f1, f2, image, keys) of every row: size, fingerprint and bucket counts
+    of its shingle set, and the set's first shingles in the common order."""
     usual = _usual(df, size, bits)
-    schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>"
+    schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, image binary, keys array<bigint>"
 
     def make(batches):
         for batch in batches:
@@ -96,14 +110,16 @@ def _prints(df: DataFrame, size: int, num: int, den: int, bits: int) -> DataFram
                 prefix = n - (num * n + den - 1) // den + 1
                 kept = value[order][place < prefix[row]]
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(value + np.uint64(s)))]) for s in (1, 2)]
+                ends = np.split((value >> np.uint64(64 - _IMAGE_BITS[1])).view(np.int64), offsets[1:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[i:j],
                         pa.array(n),
                         *(pa.array((s[offsets[1:]] - s[offsets[:-1]]).view(np.int64)) for s in sums),
+                        pa.array([_image(e) for e in ends], pa.binary()),
                         list_array(kept, np.concatenate([[0], np.cumsum(np.where(n > 0, prefix, 0))])),
                     ],
-                    ["doc_id", "n", "f1", "f2", "keys"],
+                    ["doc_id", "n", "f1", "f2", "image", "keys"],
                 )
 
     rows = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -132,54 +148,119 @@ def _sets_of(df: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 
 
 class _Region:
-    """Sets of one region, joined by pivots and rings."""
+    """Sets of one region, joined by pivots and rings; ``label`` tells its components."""
 
     def __init__(self, offsets: np.ndarray, shingles: np.ndarray, num: int, den: int):
         self.n = np.diff(offsets)
         self.offsets, self.num, self.den = offsets, num, den
         names, self.code = np.unique(shingles, return_inverse=True)
         self.mark = np.zeros(len(names) + 1, bool)
-        self.root = np.arange(len(self.n))
+        self.label = np.arange(len(self.n))
+
+    def link(self, i: int, others: np.ndarray) -> None:
+        old = np.unique(self.label[others])
+        self.label[np.isin(self.label, old)] = self.label[i]
 
-    def find(self, i: int) -> int:
-        while self.root[i] != i:
-            self.root[i] = i = self.root[self.root[i]]
-        return i
+    def codes(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of the sets of ``at``, one after another, and where each begins."""
+        n = self.n[at]
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
+        return self.code[np.arange(n.sum()) + np.repeat(self.offsets[at] - starts, n)], starts
 
     def rings(self, pivot: int, at: np.ndarray) -> np.ndarray:
         """Ring of each set of ``at`` around the pivot; 0 is within the radius."""
         own = self.code[self.offsets[pivot] : self.offsets[pivot + 1]]
         self.mark[own] = True
-        spread = np.repeat(self.offsets[at] - np.concatenate([[0], np.cumsum(self.n[at])[:-1]]), self.n[at])
-        codes = self.code[np.arange(len(spread)) + spread]
-        starts = np.concatenate([[0], np.cumsum(self.n[at])[:-1]])
-        both = np.add.reduceat(self.mark[codes].astype(np.int64), starts)
+        codes, starts = self.codes(at)
+        both = np.add.reduceat(self.mark[codes].astype(np.int32), starts).astype(np.int64)
         self.mark[own] = False
         either = self.n[at] + self.n[pivot] - both
-        return -((-(either - both) * self.den) // ((self.den - self.num) * either)) - 1
+        ring = -((-(either - both) * self.den) // ((self.den - self.num) * either)) - 1
+        return np.maximum(ring, 0)
 
     def join(self) -> None:
         todo = [np.arange(len(self.n))]
         while todo:
             at = todo.pop()
-            roots = np.array([self.find(i) for i in at])
-            if len(at) < 2 or (roots == roots[0]).all():
+            if len(at) < 2 or (self.label[at] == self.label[at[0]]).all():
                 continue
-            pivot, at = int(at[0]), at[1:]
-            ring = np.maximum(self.rings(pivot, at), 0)
-            for i in at[ring == 0]:
-                self.root[self.find(int(i))] = self.find(pivot)
-            present = np.unique(ring)
-            if len(present) == 1 and present[0] > 0 or len(present) == 2 and present[0] + 1 == present[1]:
-                todo.append(at)
+            pivot, rest = int(at[0]), at[1:]
+            ring = self.rings(pivot, rest)
+            self.link(pivot, rest[ring == 0]) if (ring == 0).any() else None
+            # Ring k with its window k + 1; the last ring is the window of the one before.
+            parts = [rest[(ring == k) | (ring == k + 1)] for k in np.unique(ring)]
+            parts = [p for k, p in zip(np.unique(ring), parts) if (ring == k + 1).any() or not (ring == k - 1).any()]
+            if sum(map(len, parts)) <= 0.8 * len(at):
+                todo += parts
+            else:
+                self.leaf(rest)
+
+    def leaf(self, at: np.ndarray) -> None:
+        """Join sets that pivots no longer part: each against those that share one of its
+        first shingles, in the order of the region's own counts, unless they are in one
+        component already."""
+        codes, starts = self.codes(at)
+        n = self.n[at]
+        row = np.repeat(np.arange(len(at)), n)
+        order = np.lexsort((codes, np.bincount(codes, minlength=len(self.mark))[codes], row))
+        first = (np.arange(len(codes)) - starts[row]) < (n - (self.num * n + self.den - 1) // self.den + 1)[row]
+        codes, row = codes[order][first], row[first]
+        by_code = np.argsort(codes, kind="stable")
+        held = row[by_code]
+        low = np.searchsorted(codes[by_code], codes, "left")
+        high = np.searchsorted(codes[by_code], codes, "right")
+        begin = np.searchsorted(row, np.arange(len(at) + 1))
+        for i in range(len(at)):
+            spans = [held[a:b] for a, b in zip(low[begin[i] : begin[i + 1]], high[begin[i] : begin[i + 1]]) if b > a + 1]
+            if not spans:
                 continue
-            for k in present:
-                home = at[ring == k]
-                window = at[ring == k + 1]
-                if len(window):
-                    todo.append(np.concatenate([home, window]))
-                elif k > 0 and (k - 1) not in present:
-                    todo.append(home)
+            near = np.unique(np.concatenate(spans))
+            near = near[near > i]
+            near = near[self.label[at[near]] != self.label[at[i]]]
+            near = near[(n[near] * self.den >= self.num * n[i]) & (n[i] * self.den >= self.num * n[near])]
+            if len(near):
+                met = at[near][self.rings(int(at[i]), at[near]) == 0]
+                if len(met):
+                    self.link(int(at[i]), met)
+
+
+def _with_partner(num: int, den: int):
+    """Members of a region whose image is within the radius of another member's. Each group
+    that such pairs connect is a region of its own, named by its members, so that a group
+    found in several regions is moved once."""
+
+    def make(table: pa.Table) -> pa.Table:
+        n = table.column("n").to_numpy()
+        order = np.argsort(n, kind="stable")
+        n = n[order]
+        counts = [_counts(x.as_py()) for x in table.column("image").take(pa.array(order))]
+        coarse = np.stack([c.reshape(64, -1).sum(axis=1) for c in counts])
+        long = np.array([len(c) > 64 for c in counts])
+        fine = np.zeros((len(counts), 512), np.int32) if long.any() else None
+        for i in np.flatnonzero(long):
+            fine[i] = counts[i]
+        group = np.arange(len(n))
+        # Sizes that differ by more than the threshold cannot be within the radius.
+        last = np.searchsorted(n * num, n * den, "right")
+        for i in range(len(n)):
+            at = np.arange(i + 1, last[i])
+            for image, held in ((coarse, True), (fine, long[i])):
+                if held and len(at):
+                    asked = at if image is coarse else at[long[at]]
+                    both = np.minimum(image[i], image[asked]).sum(axis=1)
+                    far = asked[both * den < num * (n[i] + n[asked] - both)]
+                    at = np.setdiff1d(at, far, assume_unique=True)
+            if len(at):
+                joined = np.unique(group[at])
+                group[np.isin(group, joined)] = group[i]
+        reps = table.column("rep").to_numpy()[order]
+        group = np.unique(group, return_inverse=True)[1]
+        name = np.zeros(len(n), np.uint64)
+        np.add.at(name, group, mix(reps.view(np.uint64)))
+        keep = np.bincount(group)[group] > 1
+        return pa.table({"region": name[group][keep].view(np.int64), "rep": reps[keep], "n": n[keep]})
+
+    return make
 
 
 def _tree_links(num: int, den: int):
@@ -191,7 +272,8 @@ def _tree_links(num: int, den: int):
         sizes = lists.value_lengths().to_numpy()
         region = _Region(np.concatenate([[0], np.cumsum(sizes)]), lists.flatten().to_numpy(), num, den)
         region.join()
-        top = np.array([region.find(i) for i in range(len(reps))], np.int64)
+        _, first = np.unique(region.label, return_index=True)
+        top = first[np.searchsorted(region.label[first], region.label)]
         linked = top != np.arange(len(reps))
         return pa.table({"a": reps[linked], "b": reps[top[linked]]})
 
@@ -199,18 +281,15 @@ def _tree_links(num: int, den: int):
 
 
 def _cut_large(members: DataFrame, num: int, den: int, sets: int, shingles: int):
-    """Regions that fit in one task, and the links found while cutting the larger ones."""
+    """Regions that fit in one task, and links found while cutting ``members``, which
+    holds regions that do not."""
     fitting, links = [], []
     level = 0
     while True:
-        sizes = members.groupBy("region").agg(
-            F.count(F.lit(1)).alias("sets"), F.sum("n").alias("total")
-        )
-        large = sizes.where((F.col("sets") > sets) | (F.col("total") > shingles))
-        large = stage(large, "large_regions")
-        if large.isEmpty():
-            return [*fitting, members], links
+        large = stage(_sizes(members).where(_too_large(sets, shingles)), "large_regions")
         fitting.append(members.join(large, "region", "left_anti"))
+        if large.isEmpty():
+            return fitting, links
         hot = members.join(large, "region")
         if level >= _RING_LEVELS:
             parts = F.ceil(
@@ -228,23 +307,21 @@ def _cut_large(members: DataFrame, num: int, den: int, sets: int, shingles: int)
             F.min_by(F.struct("rep", "n", "shingles"), F.xxhash64("rep", F.lit(level))).alias("p")
         )
         both = F.size(F.array_intersect("shingles", "p.shingles")).cast("bigint")
+        ring = F.expr(f"((either - both) * {den} + {den - num} * either - 1) div ({den - num} * either) - 1")
         measured = stage(
             hot.join(pivots, "region")
             .withColumn("both", both)
             .withColumn("either", F.col("n") + F.col("p.n") - F.col("both"))
-            .withColumn(
-                "ring",
-                F.ceil((F.col("either") - F.col("both")) * den / ((den - num) * F.col("either"))) - 1,
-            )
-            .select("region", "rep", "n", "shingles", "ring", "both", "either", F.col("p.rep").alias("pivot")),
+            .withColumn("ring", ring)
+            .withColumn("core", F.col("both") * den >= F.col("either") * num)
+            .select("region", "rep", "n", "shingles", "ring", "core", F.col("p.rep").alias("pivot")),
             "rings",
         )
-        core = F.col("both") * den >= F.col("either") * num
-        links.append(measured.where(core).select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
-        ring = F.when(core, 0).otherwise(F.greatest("ring", F.lit(1)))
-        # A ring meets itself and the next one; the core is linked already and only
-        # meets the first ring.
-        homes = F.when(core, F.array(F.lit(0).cast("bigint"))).otherwise(F.array(ring - 1, ring))
+        links.append(measured.where("core").select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+        ring = F.greatest("ring", F.lit(1).cast("bigint"))
+        # Region k holds rings k and k + 1. The core is linked already and only meets
+        # the first ring.
+        homes = F.when(F.col("core"), F.array(F.lit(0).cast("bigint"))).otherwise(F.array(ring - 1, ring))
         members = stage(
             measured.select(F.explode(homes).alias("home"), "*").select(
                 F.xxhash64("region", "home", F.lit(level)).alias("region"), "rep", "n", "shingles"
@@ -254,6 +331,14 @@ def _cut_large(members: DataFrame, num: int, den: int, sets: int, shingles: int)
         level += 1
 
 
+def _sizes(members: DataFrame) -> DataFrame:
+    return members.groupBy("region").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("total"))
+
+
+def _too_large(sets: int, shingles: int):
+    return (F.col("sets") > sets) | (F.col("total") > shingles)
+
+
 def jaccard_components(
     df: DataFrame,
     size: int = 3,
@@ -274,27 +359,41 @@ def jaccard_components(
     num, den = threshold
     prints = _prints(df, size, num, den, counter_bits)
     known = prints.where("doc_id is not null and n > 0")
+    first = F.min(F.struct("doc_id", "image", "keys"))
     reps = stage(
-        known.groupBy("n", "f1", "f2").agg(F.min(F.struct("doc_id", "keys")).alias("r"))
-        .select("n", "f1", "f2", F.col("r.doc_id").alias("rep"), F.col("r.keys").alias("keys")),
+        known.groupBy("n", "f1", "f2")
+        .agg(first.alias("r"))
+        .select("n", "f1", "f2", F.col("r.doc_id").alias("rep"), "r.image", "r.keys"),
         "representatives",
     )
     keyed = reps.select("rep", F.explode("keys").alias("key"))
-    order = F.struct(F.xxhash64("rep"), "rep")
     elected = (
         keyed.groupBy("key")
-        .agg(F.min(order).alias("first"), F.max("rep").alias("last"), F.min("rep").alias("least"))
-        .where("least < last")
-        .select("key", F.col("first.rep").alias("region"))
+        .agg(F.min("rep").alias("region"), F.max("rep").alias("last"))
+        .where("region < last")
+        .select("key", "region")
+    )
+    shared = keyed.join(elected, "key").select("rep", "region").distinct()
+    homes = stage(shared.join(reps.select("rep", "n", "image"), "rep"), "homes")
+    large = stage(_sizes(homes).where(_too_large(region_sets, region_shingles)), "large_regions")
+    bounded = homes.join(large, "region", "left_anti").groupBy("region")
+    near = stage(
+        bounded.applyInArrow(_with_partner(num, den), "region bigint, rep bigint, n bigint").distinct().union(
+            homes.join(large, "region", "left_semi").select("region", "rep", "n")
+        ),
+        "near",
     )
-    homes = stage(keyed.join(elected, "key").select("rep", "region").distinct(), "homes")
-    sets = _sets_of(df, homes.select("rep").distinct(), size)
     # A document with several versions brings the set of each.
-    members = stage(homes.join(sets, "rep").select("region", "rep", "n", "shingles"), "regions")
-    fitting, links = _cut_large(members, num, den, region_sets, region_shingles)
+    sets = _sets_of(df, near.select("rep").distinct(), size)
+    members = near.drop("n").join(sets, "rep").select("region", "rep", "n", "shingles")
+    fitting, links = [members.join(large, "region", "left_anti")], []
+    if not large.isEmpty():
+        hot = stage(members.join(large, "region", "left_semi"), "regions")
+        cut, links = _cut_large(hot, num, den, region_sets, region_shingles)
+        fitting += cut
     for part in fitting:
         links.append(part.groupBy("region").applyInArrow(_tree_links(num, den), "a bigint, b bigint"))
-    versions = known.join(reps.drop("keys"), ["n", "f1", "f2"]).select("doc_id", "rep")
+    versions = known.join(reps.select("n", "f1", "f2", "rep"), ["n", "f1", "f2"]).select("doc_id", "rep")
     links.append(versions.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     found = links[0]
     for more in links[1:]:
@@ -305,3 +404,14 @@ def jaccard_components(
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
     )
+
+
+def one_per_component(df: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
+    """``df`` with one row of each component: that of the smallest doc_id, and of its rows, if
+    it is repeated, the first by hash. Rows without a doc_id stay."""
+    labels = jaccard_components(df, size, threshold)
+    stay = labels.where("doc_id = component_id").select("doc_id").distinct()
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*columns)))
+    first = df.join(stay, "doc_id", "left_semi").select(*columns, rank.alias("__rank"))
+    return first.where("__rank = 1").select(*columns).union(df.where("doc_id is null"))
