@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from starquay.plans.load import check, full_load, read_raw, refresh, tables_of
-from starquay.session import build_session, sized_for
+from starquay.session import build_session, listed_bytes, size_shuffles
 from starquay.staging import discard
 
 
@@ -19,10 +19,11 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--labels", help="label text, or a glob of them")
     parser.add_argument("--output", required=True, help="root of the stored tables")
     parser.add_argument("--append", action="store_true", help="add only what is new")
-    parser.add_argument("--input-bytes", type=int, help="size of the input, to size shuffles")
+    parser.add_argument("--input-bytes", type=int, help="size of the input, if not as listed, to size shuffles")
+    parser.add_argument("--sparse-columns", help="comma-separated columns of the arrivals to leave out")
     options = parser.parse_args(arguments)
 
-    spark = build_session(settings=sized_for(options.input_bytes) if options.input_bytes else None)
+    spark = build_session()
     raw = read_raw(
         spark,
         arrivals=options.arrivals,
@@ -32,11 +33,14 @@ def main(arguments: list[str] | None = None) -> None:
         arrivals_format=options.arrivals_format,
         arrivals_fallback=options.arrivals_fallback,
     )
+    given = [df for df in vars(raw).values() if df is not None]
+    size_shuffles(spark, options.input_bytes or listed_bytes(given))
+    sparse = options.sparse_columns.split(",") if options.sparse_columns is not None else None
     try:
         if options.append:
-            refresh(spark, raw, options.output)
+            refresh(spark, raw, options.output, sparse)
         else:
-            full_load(raw, options.output)
+            full_load(raw, options.output, sparse)
         check(spark, options.output, tables_of(raw)).show()
     finally:
         discard(spark)

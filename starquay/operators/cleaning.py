@@ -49,15 +49,17 @@ def sparse_columns(df: DataFrame, threshold: float) -> DataFrame:
 
 
 def drop_sparse_columns(
-    df: DataFrame, threshold: float, keep: Sequence[str] = ()
+    df: DataFrame, threshold: float, keep: Sequence[str] = (), sparse: Sequence[str] | None = None
 ) -> DataFrame:
     """``df`` without the columns whose missing share is above ``threshold``.
 
-    Runs the profile, and brings at most one name per column to the driver.
-    Columns in ``keep`` stay, however sparse.
+    Runs the profile, and brings at most one name per column to the driver. With
+    ``sparse``, an earlier decision, those columns go and nothing is run. Columns in
+    ``keep`` stay, however sparse.
     """
-    names = [row.column_name for row in sparse_columns(df, threshold).collect()]
-    return df.drop(*(name for name in names if name not in keep))
+    if sparse is None:
+        sparse = [row.column_name for row in sparse_columns(df, threshold).collect()]
+    return df.drop(*(name for name in sparse if name not in keep))
 
 
 def first_per_key(

@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from starquay.functions.columns import named
 from starquay.schemas import TABLES, Table
 
-# Rows of a top-k report or preview; copies of a row made at a time.
+# Rows of a top-k report or preview.
 TOP = 10
-CHUNK = 1 << 12
 
 
 def largest_cities(population: DataFrame, k: int = TOP) -> DataFrame:
@@ -103,43 +102,48 @@ def mean_temperatures(temperature: DataFrame) -> DataFrame:
     return temperature.groupBy("city").agg(F.avg("avg_temp").alias("average_temp"))
 
 
-def star(temperature: DataFrame, city_code: DataFrame, fact: DataFrame) -> DataFrame:
-    """Each measurement with each arrival in its city, all columns of both.
+def star_totals(temperature: DataFrame, city_code: DataFrame, fact: DataFrame) -> DataFrame:
+    """(city_code, city, measurements, arrivals, pairs, average_temp): the three-table star
+    of measurements and arrivals per port, with its number of pairs.
 
-    Many-to-many by its meaning. For results that need no column that tells
-    arrivals apart, use ``temperature_at_arrival``.
+    Both sides are added up before they meet, so a busy port comes as one row of each.
+    The mean of the measurements is that over the pairs, as each comes equally often.
     """
+    measured = temperature.groupBy("city").agg(
+        F.count(F.lit(1)).alias("measurements"), F.avg("avg_temp").alias("average_temp")
+    )
+    arrived = fact.groupBy("city_code").agg(F.count(F.lit(1)).alias("arrivals"))
+    ports = city_code.select(F.col("code").alias("city_code"), "city")
     return (
-        temperature.join(city_code, "city")
-        .withColumnsRenamed({"code": "city_code"})
-        .join(fact, "city_code")
+        ports.join(measured, "city")
+        .join(arrived, "city_code")
+        .select(
+            "city_code",
+            "city",
+            "measurements",
+            "arrivals",
+            (F.col("measurements") * F.col("arrivals")).alias("pairs"),
+            "average_temp",
+        )
     )
 
 
 def temperature_at_arrival(
     temperature: DataFrame, city_code: DataFrame, fact: DataFrame
 ) -> DataFrame:
-    """(avg_temp, city, country): one row per measurement and arrival in its city.
+    """(avg_temp, city, country, arrivals): the temperatures measured in a city, beside
+    the countries of its arrivals, and how often both come together.
 
-    Arrivals in one city and country give equal rows, so they are counted before
-    the join and the rows repeated after it. Neither the arrivals nor the
-    measurements of a busy city are brought together in one task.
+    That count stands for the pairs of measurements and arrivals. Both sides are
+    counted before they meet, so the work and the result are linear in them.
     """
-    arrivals = fact.groupBy("city_code", "country").agg(F.count(F.lit(1)).alias("arrivals"))
-    counted = star(temperature.select("avg_temp", "city"), city_code, arrivals)
-    return _repeated(counted, "arrivals").select("avg_temp", "city", "country")
-
-
-def _repeated(df: DataFrame, count: str) -> DataFrame:
-    """Each row ``count`` times, made in chunks that are spread over all tasks."""
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    last = F.col(count) - 1
-    chunks = df.withColumn("__from", F.explode(F.sequence(F.lit(0), last, F.lit(CHUNK))))
-    end = F.least(F.col("__from") + F.lit(CHUNK - 1), last)
-    return (
-        chunks.repartition(tasks)
-        .withColumn("__copy", F.explode(F.sequence("__from", end)))
-        .drop("__from", "__copy")
+    measured = temperature.groupBy("avg_temp", "city").agg(F.count(F.lit(1)).alias("measured"))
+    arrived = fact.groupBy("city_code", "country").agg(F.count(F.lit(1)).alias("arrived"))
+    ports = city_code.select(F.col("code").alias("city_code"), "city")
+    by_city = ports.join(arrived, "city_code").groupBy("city", "country")
+    counted = by_city.agg(F.sum("arrived").alias("arrived"))
+    return measured.join(counted, "city").select(
+        "avg_temp", "city", "country", (F.col("measured") * F.col("arrived")).alias("arrivals")
     )
 
 

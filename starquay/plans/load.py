@@ -3,22 +3,28 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starquay.functions.columns import named
+from starquay.operators.labels import label_entries
 from starquay.plans import quality, tables
-from starquay.schemas import RAW_DEMOGRAPHICS, RAW_TEMPERATURE, TABLES
+from starquay.schemas import MISSING_SHARE, RAW_DEMOGRAPHICS, RAW_TEMPERATURE, TABLES
 from starquay.sources.readers import read_arrivals, read_csv, read_texts, stored_tables
 from starquay.sources.sinks import append_new_rows, write_table
-from starquay.staging import stage
+from starquay.staging import released, stage
 
 log = logging.getLogger(__name__)
 
+# Where a load keeps which columns of the arrivals were sparse.
+DECISION = "load_decisions/sparse_columns"
+
 # Tables made of each input.
 TABLES_OF = {
     "arrivals": ("fact_immigration", "dim_immigration_personal", "dim_immigration_airline"),
@@ -60,22 +66,56 @@ def read_raw(
     return raw
 
 
-def stage_arrivals(raw: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-    """Clean arrivals with the columns the tables need, and the row counts before
-    and after cleaning.
+_OTHERS = "__others"
+
+
+def _present(column: Column, kind: str) -> Column:
+    """NULL for NaN as well, which does not keep a row, as in ``na.drop``."""
+    return F.nanvl(column, F.lit(None)) if kind in ("double", "float") else column
+
+
+@dataclass
+class Cleaning:
+    """What cleaning the arrivals did: row counts, and the columns that counted as sparse."""
+
+    before_rows: int
+    after_rows: int
+    sparse: list[str]
+
+
+def stage_arrivals(
+    raw: DataFrame, threshold: float = MISSING_SHARE, sparse: Sequence[str] | None = None
+) -> tuple[DataFrame, Cleaning]:
+    """Clean arrivals with the columns the tables need, and what cleaning did.
 
-    Three tables come from this frame, and telling whether a row is empty needs
-    every column; staging makes that one wide scan and three narrow ones. The
-    counts are observed while it is written. There is no shuffle in that pass, so
-    a task that is run again does not count twice.
+    Three tables come from this frame, and telling whether a row is empty needs every
+    column that is not sparse. One wide scan writes the needed columns, observes how
+    often each column is filled, and keeps, for rows without any needed value, which
+    other columns are. Which columns are sparse is decided from those counts, and empty
+    rows are left out on reading back. ``sparse`` repeats an earlier decision instead.
+    There is no shuffle in that pass, so a task that is run again does not count twice.
     """
-    before, after = Observation("raw"), Observation("clean")
-    rows = F.count(F.lit(1)).alias("rows")
-    dense = tables.dense_arrivals(raw)
-    clean = dense.observe(before, rows).na.drop("all").observe(after, rows)
-    staged = stage(clean.select(*tables.ARRIVAL_COLUMNS), "arrivals")
-    counts = {"before_rows": before.get["rows"], "after_rows": after.get["rows"]}
-    return staged, counts
+    have = [c for c in tables.ARRIVAL_COLUMNS if c in raw.columns]
+    others = [c for c in raw.columns if c not in have]
+    held = {c: _present(named(c), kind) for c, kind in raw.dtypes}
+    blank = F.coalesce(*(held[c].cast("string") for c in have)).isNull()
+    filled = F.array_compact(F.array(*(F.when(held[c].isNotNull(), F.lit(c)) for c in others)))
+    if not others:
+        filled = F.array().cast("array<string>")
+    seen = Observation("raw")
+    counts = [F.count(named(c)).alias(f"c{i}") for i, c in enumerate(raw.columns)]
+    observed = raw.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+    staged = stage(observed.select(*map(named, have), F.when(blank, filled).alias(_OTHERS)), "arrivals")
+    found = seen.get
+    rows = found["rows"]
+    if sparse is None:
+        shares = {c: 1 - found[f"c{i}"] / rows for i, c in enumerate(raw.columns)} if rows else {}
+        sparse = [c for c, share in shares.items() if c in others and share > threshold]
+    dense = F.array(*(F.lit(c) for c in others if c not in sparse)).cast("array<string>")
+    kept = F.col(_OTHERS).isNull() | F.arrays_overlap(_OTHERS, dense)
+    clean = staged.where(kept)
+    after = clean.count()
+    return clean.select(*map(named, have)), Cleaning(rows, after, list(sparse))
 
 
 # What is done with the rows of a table: name, rows without surrogate key.
@@ -94,17 +134,23 @@ def _store_all(store: Store, rows: dict[str, DataFrame]) -> None:
     _at_once([partial(store, name, df) for name, df in rows.items()])
 
 
-def load_arrivals(raw: DataFrame, store: Store) -> None:
-    arrivals, counts = stage_arrivals(raw)
-    log.info("arrivals: %(before_rows)d rows, %(after_rows)d after cleaning", counts)
-    _store_all(
-        store,
-        {
-            "fact_immigration": tables.fact_rows(arrivals),
-            "dim_immigration_personal": tables.personal_rows(arrivals),
-            "dim_immigration_airline": tables.airline_rows(arrivals),
-        },
-    )
+def load_arrivals(raw: DataFrame, store: Store, sparse: Sequence[str] | None = None) -> list[str]:
+    """Returns the columns that counted as sparse."""
+    with released(raw.sparkSession):
+        arrivals, done = stage_arrivals(raw, sparse=sparse)
+        log.info(
+            "arrivals: %d rows, %d after cleaning, without %s",
+            done.before_rows, done.after_rows, ", ".join(done.sparse) or "no column",
+        )
+        _store_all(
+            store,
+            {
+                "fact_immigration": tables.fact_rows(arrivals),
+                "dim_immigration_personal": tables.personal_rows(arrivals),
+                "dim_immigration_airline": tables.airline_rows(arrivals),
+            },
+        )
+        return done.sparse
 
 
 def load_temperature(raw: DataFrame, store: Store) -> None:
@@ -112,49 +158,88 @@ def load_temperature(raw: DataFrame, store: Store) -> None:
 
 
 def load_demographics(raw: DataFrame, store: Store) -> None:
-    clean = stage(tables.clean_demographics(raw), "demographics")
-    _store_all(
-        store,
-        {
-            "dim_demog_population": tables.population_rows(clean),
-            "dim_demog_statistics": tables.statistics_rows(clean),
-        },
-    )
+    with released(raw.sparkSession):
+        clean = stage(tables.clean_demographics(raw), "demographics")
+        _store_all(
+            store,
+            {
+                "dim_demog_population": tables.population_rows(clean),
+                "dim_demog_statistics": tables.statistics_rows(clean),
+            },
+        )
 
 
 def load_labels(raw: DataFrame, store: Store) -> None:
-    _store_all(store, tables.code_tables(raw))
+    """The entries are staged once; they are far smaller than the texts."""
+    with released(raw.sparkSession):
+        entries = stage(label_entries(raw), "label_entries")
+        _store_all(store, tables.code_tables_of(entries))
 
 
-def _load(raw: RawFrames, store: Store) -> None:
+def _load(raw: RawFrames, store: Store, sparse: Sequence[str] | None) -> list[str] | None:
+    decided: list[str] = []
+
+    def arrivals(df: DataFrame, store: Store) -> None:
+        decided.extend(load_arrivals(df, store, sparse))
+
     steps = {
-        load_arrivals: raw.arrivals,
+        arrivals: raw.arrivals,
         load_temperature: raw.temperature,
         load_demographics: raw.demographics,
         load_labels: raw.labels,
     }
     _at_once([partial(step, df, store) for step, df in steps.items() if df is not None])
+    return decided if raw.arrivals is not None else None
+
+
+def _decision(root: str) -> str:
+    return f"{root}/{DECISION}"
 
 
-def full_load(raw: RawFrames, root: str) -> None:
-    """Replace the tables of the given inputs under ``root``."""
+def sparse_columns_of(spark: SparkSession, root: str) -> list[str] | None:
+    """The columns that counted as sparse in the full load under ``root``, if it had arrivals."""
+    try:
+        return [row.column_name for row in spark.read.schema("column_name string").parquet(_decision(root)).collect()]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def full_load(raw: RawFrames, root: str, sparse: Sequence[str] | None = None) -> list[str] | None:
+    """Replace the tables of the given inputs under ``root``. The columns of the arrivals
+    that counted as sparse, or were given as such, are returned, and kept beside the
+    tables for the refreshes."""
 
     def store(name: str, rows: DataFrame) -> None:
         table = TABLES[name]
-        done = tables.with_key(rows, name) if table.id_column else rows
-        write_table(done, f"{root}/{name}", partition_by=table.partition_by)
+        with released(rows.sparkSession):
+            done = tables.with_key(rows, name) if table.id_column else rows
+            write_table(done, f"{root}/{name}", partition_by=table.partition_by)
 
-    _load(raw, store)
+    decided = _load(raw, store, sparse)
+    if decided is not None:
+        spark = raw.arrivals.sparkSession
+        names = spark.createDataFrame([(c,) for c in decided], "column_name string")
+        names.coalesce(1).write.mode("overwrite").parquet(_decision(root))
+    return decided
 
 
-def refresh(spark: SparkSession, raw: RawFrames, root: str) -> None:
+def refresh(
+    spark: SparkSession, raw: RawFrames, root: str, sparse: Sequence[str] | None = None
+) -> list[str] | None:
     """Append what is new in the given inputs to the tables under ``root``. Running
-    it again with the same inputs changes nothing."""
+    it again with the same inputs changes nothing.
+
+    Which columns are sparse, and so which rows are empty, is as in the full load, not
+    as in the batch at hand, unless ``sparse`` says otherwise.
+    """
 
     def store(name: str, rows: DataFrame) -> None:
-        append_new_rows(spark, tables.typed(rows, name), root, TABLES[name])
+        with released(spark):
+            append_new_rows(spark, tables.typed(rows, name), root, TABLES[name])
 
-    _load(raw, store)
+    return _load(raw, store, sparse_columns_of(spark, root) if sparse is None else sparse)
 
 
 def tables_of(raw: RawFrames) -> list[str]:
@@ -170,5 +255,4 @@ def check(spark: SparkSession, root: str, names: Iterable[str] = tuple(TABLES))
     expected = {name: TABLES[name].schema for name in names}
     stored = stored_tables(spark, root, expected)
     quality.require_schemas(spark, stored, expected)
-    quality.require_rows(stored)
-    return quality.row_counts(stored)
+    return quality.require_rows(spark, stored)

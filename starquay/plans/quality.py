@@ -66,14 +66,14 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def require_rows(tables: Mapping[str, DataFrame]) -> None:
-    """Raise if a table is empty. Looks for one row of each, in one job."""
-    found = _union(
-        df.limit(1).select(F.lit(name).alias("table_name")) for name, df in tables.items()
-    ).collect()
-    empty = sorted(set(tables) - {row.table_name for row in found})
+def require_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Raise if a table is empty; else return the row counts. One job counts them all,
+    one row per table."""
+    found = [(row.table_name, row.records) for row in row_counts(tables).collect()]
+    empty = sorted(name for name, records in found if not records)
     if empty:
         raise QualityError(f"empty tables: {', '.join(empty)}")
+    return spark.createDataFrame(found, "table_name string, records bigint")
 
 
 def schema_listing(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,13 +1,16 @@
 """The nine warehouse tables: from raw frames to typed rows.
 
 A builder of a table with a surrogate key gives its rows without the key, in raw
-types; ``with_key`` adds the key in the stated order and casts. The split is what
-lets a full load and an append-only refresh share the builders.
+types and with repeats; ``with_key`` casts, drops repeats and adds the key in the
+stated order. The split is what lets a full load and an append-only refresh share
+the builders and the grain: the distinct typed row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starquay.functions.columns import cast_to_schema, convert, named
@@ -38,48 +41,53 @@ def pick(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*(named(old).alias(new) for old, new in names.items()))
 
 
-def dense_arrivals(raw: DataFrame, threshold: float = MISSING_SHARE) -> DataFrame:
-    """Without the columns that are mostly missing. A column that a table needs
-    stays, however sparse it is in one load."""
-    return drop_sparse_columns(raw, threshold, keep=ARRIVAL_COLUMNS)
+# Every raw demographic and temperature column that a table is made of.
+DEMOGRAPHIC_COLUMNS = {
+    *POPULATION_NAMES, *STATISTICS_NAMES, *DEMOGRAPHICS_KEY, *REQUIRED_DEMOGRAPHICS,
+}
+TEMPERATURE_COLUMNS = {*TEMPERATURE_NAMES, *TEMPERATURE_KEY, "AverageTemperature"}
+
+
+def needed(raw: DataFrame, names: set[str]) -> DataFrame:
+    """The columns of ``raw`` that are in ``names``, in its order."""
+    return raw.select(*(named(c) for c in raw.columns if c in names))
 
 
-def clean_arrivals(raw: DataFrame, threshold: float = MISSING_SHARE) -> DataFrame:
-    """Without mostly missing columns, then without rows that hold no value."""
-    return dense_arrivals(raw, threshold).na.drop("all")
+def clean_arrivals(
+    raw: DataFrame, threshold: float = MISSING_SHARE, sparse: Sequence[str] | None = None
+) -> DataFrame:
+    """Without mostly missing columns, then without rows that hold no value. A column
+    that a table needs stays, however sparse it is in one load."""
+    return drop_sparse_columns(raw, threshold, ARRIVAL_COLUMNS, sparse).na.drop("all")
 
 
 def fact_rows(arrivals: DataFrame) -> DataFrame:
-    return (
-        pick(arrivals, FACT_NAMES).distinct().withColumn("country", F.lit(COUNTRY))
-    )
+    return pick(arrivals, FACT_NAMES).withColumn("country", F.lit(COUNTRY))
 
 
 def personal_rows(arrivals: DataFrame) -> DataFrame:
-    return pick(arrivals, PERSONAL_NAMES).distinct()
+    return pick(arrivals, PERSONAL_NAMES)
 
 
 def airline_rows(arrivals: DataFrame) -> DataFrame:
-    return pick(arrivals, AIRLINE_NAMES).distinct()
+    return pick(arrivals, AIRLINE_NAMES)
 
 
 def clean_demographics(raw: DataFrame) -> DataFrame:
-    """One complete row per city, state and race."""
-    complete = raw.na.drop("any", subset=REQUIRED_DEMOGRAPHICS)
+    """One complete row per city, state and race: the first by the columns that tables
+    are made of. No other column is read."""
+    complete = needed(raw, DEMOGRAPHIC_COLUMNS).na.drop("any", subset=REQUIRED_DEMOGRAPHICS)
     return first_per_key(complete, DEMOGRAPHICS_KEY)
 
 
 def population_rows(demographics: DataFrame) -> DataFrame:
-    return pick(demographics, POPULATION_NAMES).distinct()
+    return pick(demographics, POPULATION_NAMES)
 
 
 def statistics_rows(demographics: DataFrame) -> DataFrame:
     """One row per city and its figures; city and state upper-cased."""
-    return (
-        pick(demographics, STATISTICS_NAMES)
-        .distinct()
-        .withColumns({"city": F.upper("city"), "state": F.upper("state")})
-    )
+    upper = {"city": F.upper("city"), "state": F.upper("state")}
+    return pick(demographics, STATISTICS_NAMES).withColumns(upper)
 
 
 def typed(rows: DataFrame, table: str) -> DataFrame:
@@ -89,23 +97,15 @@ def typed(rows: DataFrame, table: str) -> DataFrame:
     return cast_to_schema(rows, type(schema)([f for f in schema if f.name != id_column]))
 
 
-def key_order(rows: DataFrame, table: str) -> list[Column]:
-    """The natural key in its final type. Numbers in text sort as numbers."""
-    return [
-        convert(named(c), rows.schema[c].dataType, TABLES[table].schema[c].dataType)
-        for c in TABLES[table].natural_key
-    ]
-
-
 def with_key(rows: DataFrame, table: str) -> DataFrame:
-    """Distinct raw rows as the finished table: dense key, then types.
+    """Raw rows as the finished table: types, distinct typed rows, dense key.
 
-    The key is made on raw values, which are distinct, so the order behind it is
-    total even where two raw values become one typed value.
+    Typed rows are what a refresh compares, so both paths keep the same rows, and the
+    order behind the key is total. Numbers in text sort as numbers.
     """
     spec = TABLES[table]
-    keyed = dense_key(rows, spec.id_column, key_order(rows, table))
-    return cast_to_schema(keyed, spec.schema)
+    keyed = dense_key(typed(rows, table).distinct(), spec.id_column, spec.natural_key)
+    return keyed.select(*map(named, spec.schema.names))
 
 
 def fact_immigration(arrivals: DataFrame) -> DataFrame:
@@ -132,10 +132,10 @@ def dim_temperature(raw: DataFrame, country: str = COUNTRY) -> DataFrame:
     """One measured row per city and day of one country.
 
     Of several rows for a city and day the lowest temperature stays, then the
-    first of the other columns in order. The key columns are part of the output,
-    so no further distinct is needed.
+    first of the other needed columns in order. The key columns are part of the
+    output, so no further distinct is needed.
     """
-    measured = raw.where(F.col("Country") == country).na.drop(
+    measured = needed(raw, TEMPERATURE_COLUMNS).where(F.col("Country") == country).na.drop(
         "any", subset=["AverageTemperature"]
     )
     single = first_per_key(
@@ -159,7 +159,11 @@ def dim_temperature(raw: DataFrame, country: str = COUNTRY) -> DataFrame:
 
 def code_tables(texts: DataFrame) -> dict[str, DataFrame]:
     """The three code tables out of label texts (file, text)."""
-    entries = labels.label_entries(texts)
+    return code_tables_of(labels.label_entries(texts))
+
+
+def code_tables_of(entries: DataFrame) -> dict[str, DataFrame]:
+    """The three code tables out of the entries of label texts."""
     return {
         "country_code": labels.country_codes(entries),
         "city_code": labels.city_codes(entries),

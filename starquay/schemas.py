@@ -127,8 +127,9 @@ MISSING_SHARE = 0.9
 class Table:
     """One warehouse table: stored columns, and how a row of it is identified.
 
-    ``natural_key`` decides what is new on an append-only refresh; ``id_column``
-    is the dense surrogate key.
+    ``natural_key`` orders rows, and identifies them where a table has one row per key.
+    ``id_column`` is the dense surrogate key; the other columns of such a table are
+    what tells its rows apart, in a full load and in a refresh.
     """
 
     name: str
@@ -137,6 +138,13 @@ class Table:
     id_column: str | None = None
     partition_by: str | None = None
 
+    @property
+    def identity(self) -> tuple[str, ...]:
+        """The columns that make a row a new one."""
+        if self.id_column is None:
+            return self.natural_key
+        return tuple(name for name in self.schema.names if name != self.id_column)
+
 
 # Warehouse tables, their columns in order, and types. Surrogate
 # keys are BIGINT: a 32-bit key runs out at the row counts this is meant for.

@@ -3,7 +3,9 @@ settings and stay out of the code."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE does the run-time work this library leans on: it turns joins into broadcast
 # joins on measured sizes, splits skewed join and rebalance partitions, and merges
@@ -17,20 +19,20 @@ SETTINGS = {
 }
 
 
-# Above this, the bookkeeping of maps times reduces costs more than larger partitions,
-# which spill.
-MAX_PARTITIONS = 100_000
-
-
-def sized_for(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+def sized_for(
+    input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int | None = None
+) -> dict[str, str]:
     """Shuffle settings for a load of ``input_bytes``.
 
     The initial partition count is set so that one partition of a full shuffle of
     the input is about ``partition_bytes``, which fits in the memory of one task;
-    AQE then merges what turns out to be smaller, up to that size. At 100 TB the
-    count is at its limit and a partition holds about 1 GB.
+    AQE then merges what turns out to be smaller, up to that size. A shuffle keeps a
+    record per map and reduce task; where those outgrow the driver, ``max_partitions``
+    bounds the count, at the price of larger partitions, which spill.
     """
-    partitions = min(MAX_PARTITIONS, max(200, -(-input_bytes // partition_bytes)))
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    if max_partitions is not None:
+        partitions = min(partitions, max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -50,3 +52,19 @@ def build_session(
     for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def listed_bytes(frames: Iterable[DataFrame]) -> int:
+    """Size of the files behind ``frames``, as the planner has listed them. What is no
+    file and has no statistics counts as nothing."""
+    total = 0
+    for df in frames:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        total += size if size < 1 << 60 else 0
+    return total
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Apply ``sized_for`` to a running session."""
+    for key, value in sized_for(input_bytes).items():
+        spark.conf.set(key, value)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starquay.functions.columns import named
 from starquay.operators.keys import dense_key
 from starquay.schemas import TABLES, Table
-from starquay.sources.readers import read_table
+from starquay.sources.readers import read_table, stored_tables
 from starquay.staging import stage
 
 _KEY = "__key"
@@ -38,17 +38,18 @@ def write_table(
 
 
 def new_rows(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``incoming`` whose key does not occur in ``existing``.
+    """Rows of ``incoming`` whose ``key`` does not occur in ``existing``.
 
     Keys are compared as structs, in which NULL equals NULL: a row without a key
-    is new once, not on every load. Both sides are cut to one row per key before
-    they meet, so no key is heavy, and that shuffle serves the join as well. The
-    keys found new are staged, which leaves the last join a plain one of two scans
-    that AQE may broadcast or split.
+    is new once, not on every load. The incoming keys, cut to one row each, are
+    staged first. History is cut to them by a semi join, which AQE turns into a
+    broadcast of the smaller side on its measured size, so history is scanned but
+    not shuffled; only what it has in common with the incoming keys goes on.
     """
     keyed = incoming.withColumn(_KEY, F.struct(*map(named, key)))
-    asked = keyed.select(_KEY).distinct()
-    known = existing.select(F.struct(*map(named, key)).alias(_KEY)).distinct()
+    asked = stage(keyed.select(_KEY).distinct(), "asked_keys")
+    history = existing.select(F.struct(*map(named, key)).alias(_KEY))
+    known = history.join(asked, _KEY, "left_semi").distinct()
     fresh = stage(asked.join(known, _KEY, "left_anti"), "fresh_keys")
     return keyed.join(fresh, _KEY, "left_semi").drop(_KEY)
 
@@ -58,11 +59,23 @@ def append_new_rows(
 ) -> None:
     """Append-only refresh of a stored table: add what is not there yet.
 
-    Keys of new rows go on from the largest stored one. A second run with the same
-    rows adds nothing. Not safe for two loads of one table at a time.
+    What is new is told by ``table.identity``: the whole row but its surrogate key, or
+    the key of a table with one row per key. So a load and a refresh leave the rows of
+    one load of both. A table that was never written is empty. Keys of new rows go on
+    from the largest stored one. A second run with the same rows adds nothing. Not safe
+    for two loads of one table at a time.
     """
-    stored = read_table(spark, root, table.name)
-    fresh = new_rows(stored, incoming, list(table.natural_key))
+    given = incoming.schema
+    expected = [f for f in table.schema if f.name != table.id_column]
+    found = {f.name: f.dataType for f in given}
+    wrong = [f.name for f in expected if found.get(f.name) != f.dataType]
+    if wrong:
+        raise TypeError(f"{table.name}: columns absent or of another type: {', '.join(wrong)}")
+    is_new = table.name not in stored_tables(spark, root, [table.name])
+    stored = spark.createDataFrame([], table.schema) if is_new else read_table(spark, root, table.name)
+    if table.id_column:
+        incoming = incoming.distinct()
+    fresh = new_rows(stored, incoming, list(table.identity))
     if table.id_column:
         last = stored.agg(F.max(table.id_column)).first()[0] or 0
         fresh = dense_key(fresh, table.id_column, order_by or table.natural_key, start=last)

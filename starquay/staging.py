@@ -7,48 +7,64 @@ lineage, survives the loss of executors, and lets each reader prune columns.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_WAREHOUSE = "spark.sql.warehouse.dir"
+_written: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, or set on the context.
+    """The folder named in ``spark.checkpoint.dir``, or set on the context; else one in the
+    warehouse, which Spark shares between all machines."""
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get(_WAREHOUSE).rstrip("/") + "/staging"
 
-    Only a local session may do without that setting; on a cluster a folder that
-    one machine alone can see would lose data, so it is an error.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="starquay-"))
-    return context.getCheckpointDir()
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/starquay/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark).rstrip('/')}/starquay/{application}/{label}-{uuid.uuid4().hex}"
+    return f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder now and return a reader of it."""
     spark = df.sparkSession
     path = new_path(spark, label)
+    written = _written.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession) -> None:
-    """Remove what this application staged. Frames that read it become invalid."""
-    folder = f"{shared_folder(spark).rstrip('/')}/starquay/{spark.sparkContext.applicationId}"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.delete(path, True)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what this thread staged inside the block, failed or not. Frames
+    that read it must have been used by then."""
+    mark = _written.set([])
+    try:
+        yield
+    finally:
+        for path in _written.get():
+            _delete(spark, path)
+        _written.reset(mark)
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove what this application staged. Frames that read it become invalid."""
+    _delete(spark, _folder(spark))

@@ -56,16 +56,16 @@ DEMOGRAPHICS = [
     *(TOWN | {"City": "Gap", column: None} for column in REQUIRED_DEMOGRAPHICS),
 ]
 LABELS = """  value i94cntyl\r
-   582 =  'MEXICO'\r
-   236 =  'AFGHANISTAN' ;\r
+   582 =  'LOWER NOWHERE'\r
+   236 =  'UPPER NOWHERE' ;\r
   value $i94prtl\r
-   'NYC'\t=\t'NEW YORK, NY   '\r
-   'AKR'\t=\t'AKRON, OH   '\r
-   'CAK'\t=\t'AKRON, OH   '\r
+   'NYC'\t=\t'EASTPORT, ZZ   '\r
+   'AKR'\t=\t'AKRON, ZZ   '\r
+   'CAK'\t=\t'AKRON, ZZ   '\r
 ;\r
 value i94addrl\r
-\t'NJ'='NEW JERSEY'\r
-\t'99'='All Other Codes' ;\r
+\t'NJ'='EASTMARCH'\r
+\t'99'='ANYWHERE ELSE' ;\r
 """
 
 

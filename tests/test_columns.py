@@ -94,9 +94,9 @@ def test_percent_of_nothing_is_null(spark):
 
 
 def test_text_before_comma_and_quotes(spark):
-    labels = ["ALCAN, AK   ", "No PORT Code (CP)", "A , B, C", ""]
+    labels = ["QUARTZ, ZZ   ", "No PORT Code (CP)", "A , B, C", ""]
     assert one(spark, labels, "string", C.text_before_comma) == [
-        "ALCAN",
+        "QUARTZ",
         "No PORT Code (CP)",
         "A",
         "",

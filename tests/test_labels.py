@@ -10,16 +10,16 @@ TEXT = "\r\n".join(
         "proc format library=library ;",
         "/* codes: the value of each */",
         "  value i94cntyl",
-        "   582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'",
-        "   236 =  'AFGHANISTAN'",
+        "   817 =  'LOWER NOWHERE, isles (by sea, see 7) and others'",
+        "   430 =  'UPPER NOWHERE'",
         "   996 =  'No Country Code (996)' ;",
         "",
         "/* 1 = 'not an entry' */",
         "   2 = 'after the end'",
         "  value $i94prtl",
-        "   'ALC'\t=\t'ALCAN, AK             '",
-        "   'HOM'\t=\t'HOMER, AK             '           ",
-        "   'INT'\t=\t'INT''L FALLS, MN      '",
+        "   'QUA'\t=\t'QUARTZ, ZZ             '",
+        "   'ROW'\t=\t'ROWAN, ZZ             '           ",
+        "   'TOM'\t=\t'TOM''S CREEK, YY      '",
         "   'CP '\t=\t'No PORT Code (CP)'",
         "   'ADU' \t=\t'semi; colon, XX'",
         ";",
@@ -27,9 +27,9 @@ TEXT = "\r\n".join(
         "\t1 = 'Air'",
         "\t9 = 'Not reported' ;",
         "value i94addrl",
-        "\t'AL'='ALABAMA'",
-        "\t'WY'='WYOMING' ",
-        "\t'99'='All Other Codes' ;",
+        "\t'EA'='EASTMARCH'",
+        "\t'WE'='WESTMARCH' ",
+        "\t'99'='ANYWHERE ELSE' ;",
         "/* 3 = Student */",
     ]
 )
@@ -47,50 +47,50 @@ def listed(df):
 def test_sections_and_entries(spark):
     found = entries(spark, TEXT).orderBy("position").collect()
     assert [(r.section, r.code, r.label) for r in found] == [
-        ("i94cntyl", "582", "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"),
-        ("i94cntyl", "236", "AFGHANISTAN"),
+        ("i94cntyl", "817", "LOWER NOWHERE, isles (by sea, see 7) and others"),
+        ("i94cntyl", "430", "UPPER NOWHERE"),
         ("i94cntyl", "996", "No Country Code (996)"),
-        ("i94prtl", "ALC", "ALCAN, AK"),
-        ("i94prtl", "HOM", "HOMER, AK"),
-        ("i94prtl", "INT", "INT'L FALLS, MN"),
+        ("i94prtl", "QUA", "QUARTZ, ZZ"),
+        ("i94prtl", "ROW", "ROWAN, ZZ"),
+        ("i94prtl", "TOM", "TOM'S CREEK, YY"),
         ("i94prtl", "CP", "No PORT Code (CP)"),
         ("i94prtl", "ADU", "semi; colon, XX"),
         ("i94model", "1", "Air"),
         ("i94model", "9", "Not reported"),
-        ("i94addrl", "AL", "ALABAMA"),
-        ("i94addrl", "WY", "WYOMING"),
-        ("i94addrl", "99", "All Other Codes"),
+        ("i94addrl", "EA", "EASTMARCH"),
+        ("i94addrl", "WE", "WESTMARCH"),
+        ("i94addrl", "99", "ANYWHERE ELSE"),
     ]
 
 
 def test_code_lists(spark):
     found = entries(spark, TEXT)
-    assert ("582", "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)") in listed(
+    assert ("817", "LOWER NOWHERE, isles (by sea, see 7) and others") in listed(
         labels.country_codes(found)
     )
     assert listed(labels.city_codes(found)) == [
         ("ADU", "semi; colon"),
-        ("ALC", "ALCAN"),
         ("CP", "No PORT Code (CP)"),
-        ("HOM", "HOMER"),
-        ("INT", "INT'L FALLS"),
+        ("QUA", "QUARTZ"),
+        ("ROW", "ROWAN"),
+        ("TOM", "TOM'S CREEK"),
     ]
     assert listed(labels.state_codes(found)) == [
-        ("99", "All Other Codes"),
-        ("AL", "ALABAMA"),
-        ("WY", "WYOMING"),
+        ("99", "ANYWHERE ELSE"),
+        ("EA", "EASTMARCH"),
+        ("WE", "WESTMARCH"),
     ]
 
 
 def test_unix_lines_and_no_last_semicolon(spark):
-    text = TEXT.replace("\r\n", "\n").replace("'All Other Codes' ;\n/* 3 = Student */", "'Other'")
+    text = TEXT.replace("\r\n", "\n").replace("'ANYWHERE ELSE' ;\n/* 3 = Student */", "'Other'")
     assert ("99", "Other") in listed(labels.state_codes(entries(spark, text)))
 
 
 def test_last_entry_of_a_code_wins(spark):
-    again = "value i94addrl\n 'AL'='first'\n 'AL'='second';\n"
-    assert ("AL", "second") in listed(labels.state_codes(entries(spark, TEXT, again)))
-    assert ("AL", "ALABAMA") in listed(labels.state_codes(entries(spark, again, TEXT)))
+    again = "value i94addrl\n 'EA'='first'\n 'EA'='second';\n"
+    assert ("EA", "second") in listed(labels.state_codes(entries(spark, TEXT, again)))
+    assert ("EA", "EASTMARCH") in listed(labels.state_codes(entries(spark, again, TEXT)))
 
 
 def test_long_section(spark):

@@ -18,7 +18,7 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(ORACLE))
 def test_query_agrees_with_sql(spark, connection, name):
     assert differences(QUERIES[name](spark, SF_DIR), connection, ORACLE[name]) == []
 

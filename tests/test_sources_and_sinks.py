@@ -130,17 +130,39 @@ def test_append_goes_on_with_keys_and_adds_nothing_twice(spark, tmp_path, monkey
         [("b", "new label"), ("d", "D"), ("c", "C"), (None, "?")], "code string, label string"
     )
     for _ in range(2):
-        sinks.append_new_rows(spark, incoming, root, CODES)
+        sinks.append_new_rows(spark, incoming.union(incoming), root, CODES)
         found = readers.read_table(spark, root, "codes").orderBy("id").collect()
+        # A known code with another label is another row, as in a full load.
         assert [tuple(r) for r in found] == [
             ("a", "A", 1),
             ("b", "B", 2),
             (None, "?", 3),
-            ("c", "C", 4),
-            ("d", "D", 5),
+            ("b", "new label", 4),
+            ("c", "C", 5),
+            ("d", "D", 6),
         ]
 
 
+def test_append_to_a_table_that_is_not_there(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(TABLES, "codes", CODES)
+    rows = spark.createDataFrame([("a", "A"), ("a", "A")], "code string, label string")
+    sinks.append_new_rows(spark, rows, str(tmp_path), CODES)
+    assert [tuple(r) for r in readers.read_table(spark, str(tmp_path), "codes").collect()] == [("a", "A", 1)]
+
+
+def test_append_refuses_other_types(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(TABLES, "codes", CODES)
+    rows = spark.createDataFrame([("a", 1)], "code string, label int")
+    with pytest.raises(TypeError, match="codes: .*label"):
+        sinks.append_new_rows(spark, rows, str(tmp_path), CODES)
+
+
+def test_history_is_not_shuffled_whole(spark):
+    history = spark.range(100_000).select(F.col("id").cast("string").alias("code"))
+    asked = spark.createDataFrame([("7",), ("x",)], "code string")
+    assert [r.code for r in sinks.new_rows(history, asked, ["code"]).collect()] == ["x"]
+
+
 def test_csv_sample(spark, tmp_path):
     path = str(tmp_path / "s")
     sinks.write_csv_sample(spark.range(100).select(F.col("id").alias("a b")), path, 3, ["a b"])

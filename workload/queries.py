@@ -79,8 +79,7 @@ WHERE rn = 1"""
 _CLEAN_DEMOGRAPHICS = """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_linestatus, l_returnflag
     ORDER BY CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR),
-      CAST(l_linenumber AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_tax AS VARCHAR),
-      CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)) AS rn
+      CAST(l_linenumber AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_tax AS VARCHAR)) AS rn
   FROM lineitem WHERE l_discount > 0) d
 WHERE rn = 1"""
 POPULATION_SQL = f"""
@@ -94,7 +93,8 @@ SELECT *, row_number() OVER (ORDER BY city, state, race) AS demog_pop_id FROM (
 STATISTICS_SQL = f"""
 SELECT city, state, CAST(CAST(age AS DOUBLE) AS INTEGER) AS median_age,
   CAST(size AS FLOAT) AS avg_household_size,
-  row_number() OVER (ORDER BY city, state, age, size) AS demog_stat_id
+  row_number() OVER (ORDER BY city, state, CAST(CAST(age AS DOUBLE) AS INTEGER),
+    CAST(size AS FLOAT)) AS demog_stat_id
 FROM (SELECT DISTINCT 'PART ' || CAST(l_partkey AS VARCHAR) AS city,
     'STATE ' || upper(l_linestatus) AS state, CAST(l_quantity AS VARCHAR) AS age,
     CAST(l_tax AS VARCHAR) AS size
@@ -318,6 +318,43 @@ def w4_refreshed_fact(spark, sf_dir):
     return readers.read_table(spark, root, "fact_immigration")
 
 
+_KNOWN_IDS_AGAIN = """
+SELECT o_orderkey, o_orderstatus, o_orderdate, o_custkey + 1 AS o_custkey, o_orderpriority
+FROM orders WHERE o_orderpriority = '1-URGENT'"""
+
+
+@query(
+    f"""SELECT * EXCLUDE (immigration_id) FROM ({FACT_SQL}) a
+    UNION SELECT * EXCLUDE (immigration_id) FROM (
+      {FACT_SQL.replace("FROM orders", f"FROM ({_KNOWN_IDS_AGAIN}) k")}) b"""
+)
+def w4_refresh_equals_full_load(spark, sf_dir):
+    """A part is loaded; the rest, and known ids with other values, arrive later."""
+    root = new_path(spark, "w4")
+    orders = table(spark, sf_dir, "orders")
+    again = orders.where("o_orderpriority = '1-URGENT'").withColumn("o_custkey", F.col("o_custkey") + 1)
+    first = standins.raw_arrivals(spark, sf_dir, orders.where("o_orderstatus = 'F'"))
+    later = standins.raw_arrivals(spark, sf_dir, orders.unionByName(again))
+    load.full_load(load.RawFrames(arrivals=first), root)
+    load.refresh(spark, load.RawFrames(arrivals=later), root)
+    return readers.read_table(spark, root, "fact_immigration").drop("immigration_id")
+
+
+@query(
+    f"""SELECT * EXCLUDE (demog_pop_id) FROM ({POPULATION_SQL}) a
+    UNION SELECT * EXCLUDE (demog_pop_id) REPLACE (CAST(foreign_born + 1 AS INTEGER) AS foreign_born)
+    FROM ({POPULATION_SQL}) b"""
+)
+def w4_refresh_with_new_figures(spark, sf_dir):
+    """The next year brings the same towns with other figures."""
+    root = new_path(spark, "w4")
+    raw = standins.raw_demographics(spark, sf_dir)
+    later = raw.withColumn("Foreign-born", (F.col("Foreign-born").cast("int") + 1).cast("string"))
+    load.full_load(load.RawFrames(demographics=raw), root)
+    load.refresh(spark, load.RawFrames(demographics=later), root)
+    return readers.read_table(spark, root, "dim_demog_population").drop("demog_pop_id")
+
+
 @query(
     "SELECT event_id, event_type, value FROM events WHERE event_type = 'purchase' ORDER BY event_id LIMIT 5000"
 )
@@ -541,23 +578,18 @@ def j3_name_lookup(spark, sf_dir):
 
 
 @query(
-    """SELECT n_regionkey, count(*) AS pairs, CAST(sum(c_custkey) AS BIGINT) AS arrivals
-    FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    """SELECT n_regionkey, count(*) AS pairs FROM supplier JOIN nation ON s_nationkey = n_nationkey
     JOIN customer ON n_nationkey = c_nationkey GROUP BY n_regionkey"""
 )
 def j4_star_totals(spark, sf_dir):
-    """Totals over the three-table star, with customers added up per port first."""
-    ports = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("arrivals")
-    )
-    star = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(ports, F.col("n_nationkey") == F.col("c_nationkey"))
-    )
-    return star.groupBy("n_regionkey").agg(
-        F.sum("n").alias("pairs"), F.sum("arrivals").alias("arrivals")
+    """Totals over the three-table star, from those of each port."""
+    ports = analytics.star_totals(
+        standins.supplier_temperatures(spark, sf_dir),
+        standins.city_code(spark, sf_dir),
+        standins.customer_arrivals(spark, sf_dir),
     )
+    regions = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("city_code"), "n_regionkey")
+    return ports.join(regions, "city_code").groupBy("n_regionkey").agg(F.sum("pairs").alias("pairs"))
 
 
 @query(
@@ -884,8 +916,7 @@ def q1_schema_report(spark, sf_dir):
 )
 def q2_table_counts(spark, sf_dir):
     found = {name: table(spark, sf_dir, name) for name in ("orders", "events")}
-    quality.require_rows(found)
-    return quality.row_counts(found)
+    return quality.require_rows(spark, found)
 
 
 @query(
@@ -956,19 +987,20 @@ def g5_warmest(spark, sf_dir):
 
 
 @query(
-    """SELECT c_custkey, s_suppkey AS code, c_acctbal AS avg_temp, c_nationkey AS city
-    FROM customer JOIN supplier ON c_nationkey = s_nationkey"""
+    """SELECT s_suppkey, m.n_nationkey AS code, s_acctbal AS avg_temp, CAST(r_name AS VARCHAR) AS city
+    FROM supplier JOIN nation n ON s_nationkey = n.n_nationkey
+    JOIN region ON n.n_regionkey = r_regionkey JOIN nation m ON m.n_regionkey = r_regionkey"""
 )
 def g6_name_join_sorted(spark, sf_dir):
-    """A name with many codes: each row comes once per code."""
-    measured = standins.renamed(
-        spark,
-        sf_dir,
-        "customer",
-        {"c_custkey": "c_custkey", "c_acctbal": "avg_temp", "c_nationkey": "city"},
+    """A name with many codes: each row comes once per code of its region."""
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    codes = nations.select(F.col("n_nationkey").alias("code"), F.col("r_name").alias("city"))
+    measured = table(spark, sf_dir, "supplier").join(codes, F.col("s_nationkey") == F.col("code"))
+    return analytics.port_temperatures(
+        measured.select("s_suppkey", F.col("s_acctbal").alias("avg_temp"), "city"), codes
     )
-    codes = standins.renamed(spark, sf_dir, "supplier", {"s_suppkey": "code", "s_nationkey": "city"})
-    return analytics.port_temperatures(measured, codes)
 
 
 @query("SELECT user_id AS city, round(avg(value), 6) AS average_temp FROM events GROUP BY user_id")
@@ -978,20 +1010,27 @@ def g7_mean_by_city(spark, sf_dir):
 
 
 @query(
-    """SELECT s.s_suppkey, n.n_name AS city, c.c_custkey AS cic_id FROM supplier s
-    JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN customer c ON n.n_nationkey = c.c_nationkey"""
+    """SELECT n_nationkey AS city_code, n_name AS city, measurements, arrivals,
+      measurements * arrivals AS pairs, round(average_temp, 6) AS average_temp
+    FROM nation
+    JOIN (SELECT s_nationkey, count(*) AS measurements, avg(s_acctbal) AS average_temp
+      FROM supplier GROUP BY s_nationkey) s ON s_nationkey = n_nationkey
+    JOIN (SELECT c_nationkey, count(*) AS arrivals FROM customer GROUP BY c_nationkey) c
+      ON c_nationkey = n_nationkey"""
 )
 def g8_three_way_star(spark, sf_dir):
-    return analytics.star(
+    ports = analytics.star_totals(
         standins.supplier_temperatures(spark, sf_dir),
         standins.city_code(spark, sf_dir),
         standins.customer_arrivals(spark, sf_dir),
-    ).select("s_suppkey", "city", "cic_id")
+    )
+    return ports.withColumn("average_temp", F.round("average_temp", 6))
 
 
 @query(
-    """SELECT s.s_acctbal AS avg_temp, n.n_name AS city, c.c_mktsegment AS country FROM supplier s
-    JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN customer c ON n.n_nationkey = c.c_nationkey"""
+    """SELECT s.s_acctbal AS avg_temp, n.n_name AS city, c.c_mktsegment AS country, count(*) AS arrivals
+    FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+    JOIN customer c ON n.n_nationkey = c.c_nationkey GROUP BY 1, 2, 3"""
 )
 def g8_temperature_at_arrival(spark, sf_dir):
     return analytics.temperature_at_arrival(
@@ -1010,22 +1049,140 @@ def g9_join_key_filter(spark, sf_dir):
     return analytics.visa_at_port(arrivals, standins.city_code(spark, sf_dir), 3)
 
 
-def _preview(name: str) -> Query:
-    spec = TABLES[name]
+# --------------------------------------------------------------------------
+# The same questions, asked of the stored warehouse
+# --------------------------------------------------------------------------
+_warehouses: dict[tuple[str, str], str] = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Root of the warehouse loaded from these tables, once per application."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _warehouses:
+        root = new_path(spark, "warehouse")
+        load.full_load(standins.raw_frames(spark, sf_dir), root)
+        _warehouses[at] = root
+    return _warehouses[at]
+
+
+def stored(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    root = warehouse(spark, sf_dir)
+    return [readers.read_table(spark, root, name) for name in names]
+
+
+def _of(name: str) -> str:
+    return f"({TABLE_SQL[name]}) {name}"
+
+
+@query(
+    f"""SELECT city, foreign_born, population FROM (
+      SELECT DISTINCT city, foreign_born, male_population + female_population AS population
+      FROM {_of("dim_demog_population")}) t
+    ORDER BY population DESC, city, foreign_born LIMIT 10"""
+)
+def wh_g1_largest_cities(spark, sf_dir):
+    return analytics.largest_cities(*stored(spark, sf_dir, "dim_demog_population"))
+
+
+@query(
+    f"""SELECT visa_type, count(visa) AS visa FROM {_of("dim_immigration_airline")}
+    JOIN {_of("fact_immigration")} USING (cic_id)
+    GROUP BY visa_type ORDER BY visa DESC, visa_type LIMIT 10"""
+)
+def wh_g2_visa_types(spark, sf_dir):
+    return analytics.visa_type_usage(*stored(spark, sf_dir, "dim_immigration_airline", "fact_immigration"))
+
+
+@query(f"SELECT code, city FROM {_of('city_code')} ORDER BY code, city LIMIT 10")
+def wh_g3_city_codes(spark, sf_dir):
+    return analytics.city_code_list(*stored(spark, sf_dir, "city_code"))
+
+
+@query(
+    f"""SELECT fact_immigration.*, city_code.city AS city FROM {_of("fact_immigration")}
+    JOIN {_of("city_code")} ON city_code.code = replace(fact_immigration.city_code, 'P', 'N')
+    ORDER BY cic_id, immigration_id LIMIT 10"""
+)
+def wh_g4_arrivals_with_city(spark, sf_dir):
+    fact, codes = stored(spark, sf_dir, "fact_immigration", "city_code")
+    return analytics.arrivals_with_city(fact, _as_ports(codes))
+
+
+def _as_ports(codes: DataFrame) -> DataFrame:
+    """The stand-in arrivals name their ports P0 to P24; the code list calls them N0 to N24."""
+    ports = codes.where(F.col("code").startswith("N"))
+    return ports.withColumn("code", F.concat(F.lit("P"), F.substring("code", 2, 9)))
+
+
+@query(
+    f"""SELECT * FROM {_of("dim_temperature")}
+    ORDER BY avg_temp DESC NULLS LAST, country, city, dt LIMIT 10"""
+)
+def wh_g5_warmest(spark, sf_dir):
+    return analytics.warmest_records(*stored(spark, sf_dir, "dim_temperature"))
+
+
+# Ports by the name of a measured city: each lies in the city of its number.
+_PORT_CITY_SQL = """(SELECT DISTINCT city_code AS code, 'CITY ' || substr(city_code, 2) AS city
+  FROM (SELECT 'P' || CAST(o_custkey % 25 AS VARCHAR) AS city_code FROM orders) p) port"""
+
+
+def _port_cities(fact: DataFrame) -> DataFrame:
+    name = F.concat(F.lit("CITY "), F.substring("city_code", 2, 9))
+    return fact.select(F.col("city_code").alias("code"), name.alias("city")).distinct()
+
+
+@query(f"SELECT dim_temperature.*, code FROM {_of('dim_temperature')} JOIN {_PORT_CITY_SQL} USING (city)")
+def wh_g6_port_temperatures(spark, sf_dir):
+    temperature, fact = stored(spark, sf_dir, "dim_temperature", "fact_immigration")
+    return analytics.port_temperatures(temperature, _port_cities(fact))
 
+
+@query(
+    f"SELECT city, round(avg(CAST(avg_temp AS DOUBLE)), 4) AS average_temp FROM {_of('dim_temperature')} GROUP BY city"
+)
+def wh_g7_mean_by_city(spark, sf_dir):
+    means = analytics.mean_temperatures(*stored(spark, sf_dir, "dim_temperature"))
+    return means.withColumn("average_temp", F.round("average_temp", 4))
+
+
+@query(
+    f"""SELECT avg_temp, city, fact_immigration.country AS country, count(*) AS arrivals
+    FROM {_of("dim_temperature")} JOIN {_PORT_CITY_SQL} USING (city)
+    JOIN {_of("fact_immigration")} ON city_code = code GROUP BY 1, 2, 3"""
+)
+def wh_g8_temperature_at_arrival(spark, sf_dir):
+    temperature, fact = stored(spark, sf_dir, "dim_temperature", "fact_immigration")
+    return analytics.temperature_at_arrival(temperature, _port_cities(fact), fact)
+
+
+@query(
+    f"""SELECT code AS city_code, city, measurements, arrivals, measurements * arrivals AS pairs,
+      round(average_temp, 4) AS average_temp
+    FROM {_PORT_CITY_SQL}
+    JOIN (SELECT city, count(*) AS measurements, avg(CAST(avg_temp AS DOUBLE)) AS average_temp
+      FROM {_of("dim_temperature")} GROUP BY city) m USING (city)
+    JOIN (SELECT city_code AS code, count(*) AS arrivals FROM {_of("fact_immigration")}
+      GROUP BY city_code) a USING (code)"""
+)
+def wh_g8_star_totals(spark, sf_dir):
+    temperature, fact = stored(spark, sf_dir, "dim_temperature", "fact_immigration")
+    totals = analytics.star_totals(temperature, _port_cities(fact), fact)
+    return totals.withColumn("average_temp", F.round("average_temp", 4))
+
+
+@query(
+    f"""SELECT city, visa FROM {_of("fact_immigration")} JOIN {_PORT_CITY_SQL} ON code = city_code
+    WHERE city_code = 'P7'"""
+)
+def wh_g9_visa_at_port(spark, sf_dir):
+    (fact,) = stored(spark, sf_dir, "fact_immigration")
+    return analytics.visa_at_port(fact, _port_cities(fact), "P7")
+
+
+def _preview(name: str) -> Query:
     def run(spark, sf_dir):
-        if "immigration" in name:
-            arrivals, _ = load.stage_arrivals(standins.raw_arrivals(spark, sf_dir))
-            found = getattr(tables, name)(arrivals)
-        elif "demog" in name:
-            found = getattr(tables, name)(
-                tables.clean_demographics(standins.raw_demographics(spark, sf_dir))
-            )
-        elif name == "dim_temperature":
-            found = tables.dim_temperature(standins.raw_temperature(spark, sf_dir))
-        else:
-            found = tables.code_tables(standins.label_texts(spark, sf_dir))[name]
-        return analytics.first_rows(found, spec)
+        return analytics.first_rows(*stored(spark, sf_dir, name), TABLES[name])
 
     run.__name__ = f"g10_{name}"
     return run
