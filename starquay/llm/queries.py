@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starquay.llm.backoff_scores import backoff_scores
 from starquay.llm.decontaminate import contaminated
@@ -28,6 +29,49 @@ def _query(run: Query) -> Query:
     return run
 
 
+# Words of every text in SQL: A-Z folded, runs of anything but the six space characters.
+_WORDS_SQL = r"""
+words AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents)"""
+
+ORACLE["op9_jaccard_join"] = f"""
+WITH RECURSIVE {_WORDS_SQL},
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    END AS s FROM words),
+entries AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM entries a JOIN entries b
+    ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT x AS doc_id, x AS r FROM ways UNION SELECT reached.doc_id, ways.y FROM reached JOIN ways ON ways.x = r),
+classes AS (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, sets.doc_id) AS component_id
+FROM sets LEFT JOIN classes ON sets.doc_id = classes.doc_id"""
+
+ORACLE["op6_backoff_scores"] = f"""
+WITH {_WORDS_SQL},
+steps AS (SELECT doc_id, unnest(list_prepend('<START>', w)) AS v, unnest(list_append(w, '<STOP>')) AS u
+    FROM words WHERE len(w) > 0),
+own AS (SELECT doc_id, v, u, count(*) AS n FROM steps GROUP BY doc_id, v, u),
+own_first AS (SELECT doc_id, v, sum(n) AS n FROM own GROUP BY doc_id, v),
+pairs AS (SELECT v, u, sum(n) AS n FROM own GROUP BY v, u),
+firsts AS (SELECT v, sum(n) AS n FROM own_first GROUP BY v),
+total AS (SELECT sum(n) AS n FROM firsts WHERE v <> '<START>'),
+scored AS (SELECT own.doc_id, own.n AS n, pairs.n - own.n AS others,
+    CASE WHEN pairs.n > own.n THEN ln((pairs.n - own.n) / (f.n - o.n)) ELSE ln(0.4 * g.n / total.n) END AS s
+    FROM own JOIN pairs ON own.v = pairs.v AND own.u = pairs.u JOIN firsts f ON own.v = f.v
+    JOIN own_first o ON own.doc_id = o.doc_id AND own.v = o.v JOIN firsts g ON own.u = g.v, total
+    WHERE own.u <> '<STOP>'),
+sums AS (SELECT doc_id, sum(n) AS n_words, sum(CASE WHEN others > 0 THEN n ELSE 0 END) AS n_seen, sum(n * s) AS score
+    FROM scored GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_seen, 0) AS BIGINT) AS n_seen,
+    CAST(coalesce(n_words - n_seen, 0) AS BIGINT) AS n_backed_off, round(coalesce(score, 0.0), 3) AS log_score,
+    round(score / n_words, 6) AS mean_log_score
+FROM documents d LEFT JOIN sums ON d.doc_id = sums.doc_id"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,7 +103,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op6_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_scores(_table(spark, sf_dir, "documents"))
+    scores = backoff_scores(_table(spark, sf_dir, "documents"))
+    # Sums of doubles depend on their order in the last digits.
+    rounded = {"log_score": F.round("log_score", 3), "mean_log_score": F.round("mean_log_score", 6)}
+    return scores.withColumns(rounded)
 
 
 @_query
