@@ -37,18 +37,22 @@ SCOPES = frozenset("table ul ol dl body html article section main div aside nav
 # Words of class, id and role that name a part that is no article, and that name one.
 UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"newsletter|subscri\w*|signup|login|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget|footer|foot|header|"
+    r"newsletter|subscri\w*|signup|login|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget|footer|foot|"
     r"masthead|topbar|toolbar|share|sharing|social|related|recommend\w*|more-stories|comments?|comment-list|disqus|replies|"
     r"reply|responses|respond|pagination|pager|tags?|legal|copyright|disclaimer|search|form|outbrain|taboola|hidden|"
     r"complementary|contentinfo|dialog)(?=$|[\s_-])",
     re.I,
 )
+HEADER = re.compile(r"(?:^|[\s_-])header(?=$|[\s_-])", re.I)
+# Names that tell what a container has, not what it is; and where a capital parts words.
+_HAVING = re.compile(r"(?:^|(?<=\s))(?:has|with|no)[_-][\w-]+", re.I)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|page)(?=$|[\s_-])", re.I)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _SPACES = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 MIN_PARAGRAPH = 25
@@ -56,33 +60,37 @@ DEEPEST = 400
 
 
 class Element:
-    __slots__ = ("tag", "parent", "items", "dropped", "named", "score", "length", "linked", "block")
+    __slots__ = ("tag", "parent", "items", "dropped", "named", "score", "length", "linked", "block", "inside")
 
-    def __init__(self, tag: str, parent: Element | None, attributes: str):
+    def __init__(self, tag: str, parent: Element | None, attributes: str, by_name: bool = True):
         self.tag, self.parent = tag, parent
         self.items: list[Element | str] = []
         self.score = 0.0
         self.length = self.linked = 0
         self.block = tag not in INLINE
         self.named = self.dropped = False
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
         names, hidden = [], False
         if attributes:
-            for key, value in _NAMES.findall(attributes):
+            for key, value in _ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), value.strip("\"'")
                 if key in ("class", "id", "role"):
                     names.append(value)
-                else:
+                elif key in ("hidden", "aria-hidden", "style"):
                     hidden |= key == "hidden" or key == "aria-hidden" and value.lower() == "true"
                     hidden |= key == "style" and bool(_HIDDEN.search(value))
-        name = " ".join(names)
+        name = _CAMEL.sub("-", _HAVING.sub("", " ".join(names))) if names and by_name else ""
         plain = tag in ("html", "body", "main", "article", "h1")
         self.named = tag in ("article", "main") or bool(name and LIKELY.search(name))
         unlikely = not plain and bool(name) and bool(UNLIKELY.search(name))
-        self.dropped = tag in NO_TEXT or hidden or unlikely or plain and tag == "article" and "comment" in name.lower()
+        heads = tag == "header" or not plain and bool(name) and bool(HEADER.search(name))
+        self.dropped = tag in NO_TEXT or hidden or unlikely or heads and not self.inside
+        self.dropped |= tag == "article" and "comment" in name.lower()
 
 
-def parse(page: str) -> Element:
-    """A tree in which every end tag, missing or not, closes what the HTML rules close."""
+def parse(page: str, by_name: bool = True) -> Element:
+    """A tree in which every end tag, missing or not, closes what the HTML rules close.
+    Without ``by_name`` class, id and role do not drop an element."""
     root = Element("html", None, "")
     node, depth, at = root, 0, 0
     size = len(page)
@@ -111,7 +119,7 @@ def parse(page: str) -> Element:
             node, depth = _close(node, depth, ENDS_SAME[tag])
         if tag in ("html", "body") and node is root:
             continue
-        child = Element(tag, node, found[3])
+        child = Element(tag, node, found[3], by_name)
         node.items.append(child)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
@@ -196,22 +204,27 @@ def best_parts(root: Element) -> list[Element]:
     for node in candidates:
         node.score *= 1 - _link_density(node)
     best = max(candidates, key=lambda n: n.score)
-    # An article or main around the best part that holds little else is the article.
-    up = best
-    while up.parent is not None:
-        up = up.parent
-        if up.tag in ("article", "main"):
-            best = up
+    # An article around the best part, or else a main, is the container.
+    around = [best]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    for tag in ("article", "main"):
+        found = [n for n in around if n.tag == tag]
+        if found:
+            best = found[0]
             break
     if best.parent is None:
         return [best]
+    sure = best.tag in ("article", "main")
     least = max(10.0, best.score * 0.2)
     kept = []
     for other in best.parent.items:
         if not isinstance(other, Element) or other.dropped:
             continue
-        reads = other.tag == "p" and other.length > 80 and _link_density(other) < 0.25
-        if other is best or other.score >= least and _link_density(other) < 0.5 or reads:
+        # What stands beside a sure article is part of it only if it is one as well.
+        reads = not sure and other.tag == "p" and other.length > 80 and _link_density(other) < 0.25
+        scores = other.score >= least and _link_density(other) < 0.5 and (not sure or other.tag == best.tag)
+        if other is best or scores or reads:
             kept.append(other)
     return kept
 
@@ -253,7 +266,9 @@ def _is_notice(node: Element) -> bool:
 def main_text(page: str | None) -> str:
     if not page or not page.strip():
         return ""
-    return "\n".join(_blocks(best_parts(parse(page))))
+    lines = _blocks(best_parts(parse(page)))
+    # A page whose whole text is in parts with such names is read without them.
+    return "\n".join(lines or _blocks(best_parts(parse(page, by_name=False))))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -29,6 +29,16 @@ def test_containers_without_article_tags():
     assert main_text(page(body)) == f"{BODY}\n{BODY}\nShort one."
 
 
+def test_names_of_parts():
+    rest = f"<p>{BODY}</p>"
+    article = f'<article><header class="entry-header"><h1>Title</h1></header>{rest}<div class="postComments">{rest}</div></article>'
+    for around in ('<div id=page class="has-sidebar">%s</div>', "<main>%s<section>" + rest + "</section></main>", "%s<p>" + BODY + "</p>"):
+        assert main_text(page(around % article)) == f"Title\n{BODY}"
+    assert main_text(page(f'<div class="widget">{rest}</div>')) == BODY  # else there is no text at all
+    comments = f'<article class="comment">{rest}{rest}{rest}</article>'
+    assert main_text(page(f"{article}{comments}")) == f"Title\n{BODY}"
+
+
 def test_broken_markup():
     assert main_text(f"<p><b>{BODY}<br><p>{BODY}</div></p></article>") == f"{BODY}\n{BODY}"
     assert main_text(page(f"<article><p>a < b, and {BODY}<p>c > d, {BODY}")) == f"a < b, and {BODY}\nc > d, {BODY}"
@@ -36,6 +46,11 @@ def test_broken_markup():
     assert main_text("<div>" * 3000 + BODY) == BODY
 
 
+def test_only_attributes_hide():
+    body = f'<article><p>{BODY} <a href="/hidden style=display:none">link</a></p><p hidden>no</p><p style="display: none">no</p></article>'
+    assert main_text(page(body)) == f"{BODY} link"
+
+
 def test_references_and_white_space():
     assert main_text(page(f"<article><p>&eacute;&#233;&#x4e2d;&nbsp;&lt;p&gt; {BODY}</p></article>")) == f"éé中 <p> {BODY}"
     assert main_text("plain text only") == "plain text only"
