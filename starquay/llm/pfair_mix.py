@@ -94,7 +94,7 @@ def mix_sources(
     by default they follow rows ** 0.7, in units of a ``period``-th. Sources without a
     weight get 1. A null source is the source ''. Within a source rows come in a random
     but repeatable order, so equal rows lie anywhere, and each keeps its own place. An
-    empty table gives no rows. Columns of these names in ``docs`` are replaced.
+    empty table gives no rows. Columns of ``docs`` whose names begin with mix_ are left out.
 
     Rows are numbered in hash buckets of about ``bucket_rows``, so a source with most of
     the rows is spread over as many tasks as it has buckets.
