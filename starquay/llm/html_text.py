@@ -50,7 +50,7 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|page)(?=$|[\s_-])", re.I)
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--.*?(?:-->|$)|<![^>]*+>|<\?[^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*\"[^\"]*+\"|=\s*'[^']*+'|[^>])*+)(?:>|\Z)", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _SPACES = re.compile(r"\s+")

@@ -1,5 +1,3 @@
-import texts  # noqa: F401
-
 from starquay.llm.html_text import extract_text, main_text
 
 BODY = "This is a paragraph of the article, with commas, and enough words to count as text, as articles have."
@@ -46,6 +44,12 @@ def test_broken_markup():
     assert main_text("<div>" * 3000 + BODY) == BODY
 
 
+def test_quotes_in_tags():
+    body = f"<article><p title=don't>It's {BODY}</p><p data-x='a > b' title=\"c > d\">{BODY}</p><p title=\"open>{BODY}</p></article>"
+    assert main_text(page(body)) == f"It's {BODY}\n{BODY}\n{BODY}"
+    assert main_text("<a " + 'b="c" ' * 5000) == ""
+
+
 def test_only_attributes_hide():
     body = f'<article><p>{BODY} <a href="/hidden style=display:none">link</a></p><p hidden>no</p><p style="display: none">no</p></article>'
     assert main_text(page(body)) == f"{BODY} link"

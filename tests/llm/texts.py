@@ -4,7 +4,6 @@ import random
 import re
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-ROOT_DIR = "/root/testdata/sf0.001"
 
 
 def words(text):
