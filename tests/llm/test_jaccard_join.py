@@ -32,7 +32,8 @@ def brute(rows, size, num, den):
 
 
 def found(df, *args, **parameters):
-    return sorted(tuple(r) for r in jaccard_components(df, *args, **parameters).collect())
+    rows = [tuple(r) for r in jaccard_components(df, *args, **parameters).collect()]
+    return sorted(rows, key=lambda row: [(x is None, x or 0) for x in row])
 
 
 @pytest.mark.parametrize("size, threshold", [(3, (9, 10)), (5, (4, 5)), (1, (1, 2))])
