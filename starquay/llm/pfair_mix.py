@@ -59,8 +59,7 @@ def period_slots(weights: DataFrame) -> DataFrame:
                 acc.placed[i] < sources[i].weight
                 and acc.placed[i] * period div sources[i].weight <= t),
               i -> named_struct(
-                'due', -((-(acc.placed[i] + 1L) * period) div sources[i].weight),
-                'late', -(((acc.placed[i] + 1L) * period) % sources[i].weight),
+                'due', ((acc.placed[i] + 1L) * period + sources[i].weight - 1L) div sources[i].weight,
                 'i', i)))),
             best -> named_struct(
               'placed', transform(acc.placed, (n, i) -> if(i = best.i, n + 1L, n)),
@@ -144,11 +143,11 @@ def mix_sources(
     cycle = numbered.join(weight, "mix_source").withColumn("mix_nth", F.expr("mix_block % mix_weight"))
     met = cycle.join(
         slots.select(
-            F.col("source").alias("mix_source"), F.col("nth").alias("mix_nth"), "slot", F.col("period").alias("mix_period")
+            F.col("source").alias("mix_source"), F.col("nth").alias("mix_nth"), F.col("slot").alias("mix_first"), F.col("period").alias("mix_period")
         ),
         ["mix_source", "mix_nth"],
     )
-    slot: Column = F.expr("mix_block div mix_weight") * F.col("mix_period") + met["slot"]
+    slot: Column = F.expr("mix_block div mix_weight") * F.col("mix_period") + F.col("mix_first")
     return met.select(
         *[F.col(f"`{c}`") for c in names],
         "mix_source",
