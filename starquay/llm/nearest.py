@@ -4,6 +4,7 @@ A table hashes a vector to the cell of a grid in a few random directions; Gaussi
 directions keep Euclidean distances in expectation. A query visits its own cell and the
 cells next to it, in the order in which they are likely to hold its neighbours, judged by
 how near it lies to their borders. What its cells hold in any table is measured exactly.
+A query that meets fewer rows than it asks for is compared with all rows of its dimension.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -135,6 +136,22 @@ def _closest(k: int):
     return search
 
 
+_WIDTHS = "dimension int, width double"
+
+
+def _widths(width: float):
+    """The cell width of one dimension: ``width`` median distances of its sample."""
+
+    def fit(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("spot").to_pylist(), table.column("vector").to_pylist()))
+        some = np.array([v for _, v in rows], float)
+        apart = np.sqrt(((some[::2][:, None] - some[1::2][None]) ** 2).sum(axis=2)) if len(some) > 1 else np.zeros(0)
+        cell = width * (float(np.median(apart[apart > 0])) if (apart > 0).any() else 1.0)
+        return pa.table([pa.array([some.shape[1]], pa.int32()), pa.array([cell])], ["dimension", "width"])
+
+    return fit
+
+
 def nearest(
     vectors: DataFrame,
     k: int = 10,
@@ -148,11 +165,12 @@ def nearest(
     """(vec_id, embedding) -> (query_id, rank, vec_id, score).
 
     Queries are the rows whose id is divisible by ``every``; each gets its ``k`` nearest rows
-    that were found, nearest first, ties by the smaller id, itself left out. Vectors that are
+    that were found, nearest first, ties by the smaller id, itself left out; one that has met
+    fewer than ``k`` gets the exact ``k`` nearest, or all there are. Vectors that are
     null, empty, zero, or hold a null or non-finite component take no part, nor do rows
     without an id; vectors of different dimensions never meet. Equal vectors are indexed once,
     with their k + 1 smallest ids, which are all that can be among the nearest. Only the
-    width of a cell is fitted, on at most 512 vectors; every row is indexed. A cell with
+    width of a cell is fitted, on at most 512 vectors of a dimension; every row is indexed. A cell with
     more than ``cell_rows`` vectors is searched in parts. An empty table gives no rows.
     """
     value = F.col("embedding")
@@ -178,11 +196,14 @@ def nearest(
         .select(F.col("vec_id").alias("query_id"), "rep")
     )
     asked = stage(asked, "queries")
-    sample = points.orderBy(F.xxhash64("rep")).select("vector").limit(SAMPLE).collect()
-    size = max((len(r.vector) for r in sample), default=0)
-    some = np.array([r.vector for r in sample if len(r.vector) == size], float)
-    apart = np.sqrt(np.maximum(((some[::2][:, None] - some[1::2][None]) ** 2).sum(axis=2), 0)) if len(some) > 1 else np.zeros(0)
-    cell = width * (float(np.median(apart[apart > 0])) if (apart > 0).any() else 1.0)
+    drawn = F.row_number().over(Window.partitionBy("dimension").orderBy("spot"))
+    sample = (
+        points.select(F.size("vector").alias("dimension"), F.xxhash64("rep").alias("spot"), "vector")
+        .withColumn("place", drawn)
+        .where(F.col("place") <= SAMPLE)
+    )
+    fitted = sample.groupBy("dimension").applyInArrow(_widths(width), _WIDTHS).collect()
+    widths = {r.dimension: r.width for r in fitted}
     groups = max(1, -(-points.count() // GROUP_ROWS))
     order = probe_order(hashes, probes)
     kind = points.schema["vector"].dataType.simpleString()
@@ -190,7 +211,7 @@ def nearest(
     def index(batches):
         for batch in batches:
             for at, matrix in _by_dimension(batch.column(1)):
-                grid = Grid(matrix.shape[1], cell, tables, hashes)
+                grid = Grid(matrix.shape[1], widths[matrix.shape[1]], tables, hashes)
                 for t in range(tables):
                     cells, _ = grid.cells(matrix, t)
                     yield pa.RecordBatch.from_arrays(
@@ -209,7 +230,7 @@ def nearest(
             moves[i, : len(m)] = m
         for batch in batches:
             for at, matrix in _by_dimension(batch.column(1)):
-                grid = Grid(matrix.shape[1], cell, tables, hashes)
+                grid = Grid(matrix.shape[1], widths[matrix.shape[1]], tables, hashes)
                 for t in range(tables):
                     cells, inside = grid.cells(matrix, t)
                     for i in range(len(at)):
@@ -261,7 +282,36 @@ def nearest(
         _closest(k + 1), "query bigint, rep bigint, score double"
     )
     rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "rep"))
-    best = met.distinct().withColumn("r", rank).where(F.col("r") <= k + 1)
+    best = stage(met.distinct().withColumn("r", rank).where(F.col("r") <= k + 1), "met")
+    counts = best.join(points.select("rep", F.size("ids").alias("n")), "rep").groupBy("query").agg(F.sum("n").alias("n"))
+    enough = counts.where(F.col("n") > k).select(F.col("query").alias("rep"))
+    short = stage(seeking.join(enough, "rep", "left_anti"), "short_queries")
+    missed = short.count()
+    if missed:
+        # Blocks of such queries against blocks of all rows of their dimensions.
+        sides = max(1, -(-missed // GROUP_ROWS))
+        dimension = F.size("vector")
+        asks = short.withColumn("dimension", dimension)
+        alike = points.select("rep", "vector").withColumn("dimension", dimension).join(
+            asks.select("dimension").distinct(), "dimension", "left_semi"
+        )
+        here, side = F.pmod(F.xxhash64("rep"), F.lit(groups)), F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(sides))
+        cell = F.array(F.lit(0).cast("bigint")).alias("buckets")
+
+        def all_of(n: int) -> Column:
+            return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+        held_all = alike.select(
+            all_of(sides).alias("table"), here.alias("place"), F.lit(False).alias("asking"), "rep", cell, "vector"
+        )
+        asks_all = asks.select(
+            side.alias("table"), all_of(groups).alias("place"), F.lit(True).alias("asking"), "rep", cell, "vector"
+        )
+        exact = held_all.union(asks_all).groupBy("table", "place").applyInArrow(
+            _closest(k + 1), "query bigint, rep bigint, score double"
+        )
+        exact = exact.withColumn("r", rank).where(F.col("r") <= k + 1)
+        best = best.join(short.select(F.col("rep").alias("query")), "query", "left_anti").unionByName(exact)
     named = best.join(points.select("rep", F.explode("ids").alias("vec_id")), "rep").select(
         F.col("query").alias("rep"), "vec_id", "score"
     )

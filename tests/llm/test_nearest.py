@@ -78,3 +78,22 @@ def test_probes_come_in_order_of_cost():
     order = probe_order(4, 40)
     assert order[0] == () and order[1] == (0,) and len(set(order)) == 40
     assert not any(7 - x in moves for moves in order for x in moves)
+
+
+def test_outliers_small_tables_and_dimension_groups_get_all_their_rows(spark):
+    """Queries far out, and the rows of small dimension groups at other scales, against brute force."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 64))
+    x[::50] *= 5
+    rows = [(k, v.tolist(), 0) for k, v in enumerate(x)]
+    rows += [(1000 + k, (1e3 * rng.normal(size=8)).tolist(), 0) for k in range(30)]
+    rows += [(1100 + k, (1e-3 * rng.normal(size=5)).tolist(), 0) for k in range(4)]
+    df = frame(spark, rows, "double")
+    for part, every in ((df, 50), (df.where("vec_id < 4"), 1)):
+        ids = {r.vec_id for r in part.select("vec_id").collect()}
+        want, found = brute([r for r in rows if r[0] in ids], 10, every), got(part, every=every)
+        assert set(found) == set(want)
+        assert {q: len(found[q]) for q in want} == {q: len(want[q]) for q in want}
+    # Without any cell in common every query goes the exact way.
+    want, found = brute(rows, 10, 50), got(df, every=50, width=1e-6)
+    assert {q: [j for j, _ in found[q]] for q in want} == {q: [j for j, _ in want[q]] for q in want}
