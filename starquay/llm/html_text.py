@@ -56,17 +56,16 @@ _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""
 _SPACES = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 MIN_PARAGRAPH = 25
-DEEPEST = 400
 
 
 class Element:
-    __slots__ = ("tag", "parent", "items", "dropped", "named", "score", "length", "linked", "block", "inside")
+    __slots__ = ("tag", "parent", "items", "dropped", "named", "score", "length", "linked", "commas", "chars", "block", "inside")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str, by_name: bool = True):
         self.tag, self.parent = tag, parent
         self.items: list[Element | str] = []
         self.score = 0.0
-        self.length = self.linked = 0
+        self.length = self.linked = self.commas = self.chars = 0
         self.block = tag not in INLINE
         self.named = self.dropped = False
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
@@ -88,12 +87,51 @@ class Element:
         self.dropped |= tag == "article" and "comment" in name.lower()
 
 
+class _Open:
+    """The open elements from the root on, and where those of a tag, blocks and scopes stand
+    among them, so that no tag is looked for by climbing."""
+
+    def __init__(self, root: Element):
+        self.elements = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks, self.scopes = [0], [0]
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag; 0, the root's, if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def enter(self, node: Element) -> None:
+        place = len(self.elements)
+        self.elements.append(node)
+        self.places.setdefault(node.tag, []).append(place)
+        if node.block:
+            self.blocks.append(place)
+        if node.tag in SCOPES:
+            self.scopes.append(place)
+
+    def cut(self, place: int) -> Element:
+        """Leave the element at ``place`` and all in it; the one that is then innermost."""
+        while len(self.elements) > place:
+            self.places[self.elements.pop().tag].pop()
+        for held in (self.blocks, self.scopes):
+            while held[-1] >= place:
+                held.pop()
+        return self.elements[-1]
+
+    def close(self, tags: tuple[str, ...]) -> Element:
+        """Leave the nearest open element of ``tags``, if no other container is between."""
+        place = max(self.last(tag) for tag in tags)
+        return self.cut(place) if place > self.scopes[-1] else self.elements[-1]
+
+
 def parse(page: str, by_name: bool = True) -> Element:
     """A tree in which every end tag, missing or not, closes what the HTML rules close.
     Without ``by_name`` class, id and role do not drop an element."""
     root = Element("html", None, "")
-    node, depth, at = root, 0, 0
+    node, at = root, 0
     size = len(page)
+    stack = _Open(root)
     while at < size:
         found = _TOKEN.search(page, at)
         if not found:
@@ -106,17 +144,15 @@ def parse(page: str, by_name: bool = True) -> Element:
             continue
         tag = found[2].lower()
         if found[1]:
-            up, climbed = node, 0
-            while up is not root and up.tag != tag:
-                up, climbed = up.parent, climbed + 1
             # An inline end tag does not close blocks, and an unknown one closes nothing.
-            if up is not root and not (tag in INLINE and _has_block(node, up)):
-                node, depth = up.parent, depth - climbed - 1
+            place = stack.last(tag)
+            if place and not (tag in INLINE and stack.blocks[-1] > place):
+                node = stack.cut(place)
             continue
         if tag in ENDS_P:
-            node, depth = _close(node, depth, ("p",))
+            node = stack.close(("p",))
         if tag in ENDS_SAME:
-            node, depth = _close(node, depth, ENDS_SAME[tag])
+            node = stack.close(ENDS_SAME[tag])
         if tag in ("html", "body") and node is root:
             continue
         child = Element(tag, node, found[3], by_name)
@@ -124,57 +160,32 @@ def parse(page: str, by_name: bool = True) -> Element:
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
-        elif tag not in VOID and not found[3].endswith("/") and depth < DEEPEST:
-            node, depth = child, depth + 1
+        elif tag not in VOID and not found[3].endswith("/"):
+            stack.enter(child)
+            node = child
     return root
 
 
-def _has_block(node: Element, top: Element) -> bool:
-    while node is not top:
-        if node.block:
-            return True
-        node = node.parent
-    return False
-
-
-def _close(node: Element, depth: int, tags: tuple[str, ...]) -> tuple[Element, int]:
-    """Leave the nearest open element of ``tags``, if no other container is between."""
-    up, climbed = node, 0
-    while up.parent is not None and up.tag not in SCOPES:
-        climbed += 1
-        if up.tag in tags:
-            return up.parent, depth - climbed
-        up = up.parent
-    return node, depth
-
-
-def _text(node: Element) -> str:
-    """Text of an element without what never counts."""
-    parts: list[str] = []
-    todo: list[Element | str] = [node]
-    while todo:
-        item = todo.pop()
-        if isinstance(item, str):
-            parts.append(item)
-        elif not item.dropped or item is node:
-            todo += reversed(item.items)
-    return "".join(parts)
-
-
 def _measure(root: Element) -> list[Element]:
-    """Elements in page order, with their lengths of text and of text in links."""
+    """Elements in page order, with their lengths of text and of text in links, and their
+    characters and commas."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
         order.append(node)
         todo += [c for c in reversed(node.items) if isinstance(c, Element) and not c.dropped]
     for node in reversed(order):
-        node.length += sum(len(_SPACES.sub(" ", t).strip()) for t in node.items if isinstance(t, str))
+        own = [t for t in node.items if isinstance(t, str)]
+        node.length += sum(len(_SPACES.sub(" ", t).strip()) for t in own)
+        node.chars += sum(map(len, own))
+        node.commas += sum(t.count(",") for t in own)
         if node.tag == "a":
             node.linked = node.length
         if node.parent is not None:
             node.parent.length += node.length
             node.parent.linked += node.linked
+            node.parent.chars += node.chars
+            node.parent.commas += node.commas
     return order
 
 
@@ -189,8 +200,7 @@ def best_parts(root: Element) -> list[Element]:
         own = any(isinstance(c, str) and c.strip() for c in node.items)
         if not (node.tag in ("p", "pre", "blockquote", "td", "li") or node.block and own) or not node.length:
             continue
-        text = _text(node) if node.length >= MIN_PARAGRAPH else ""
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) if text else 0.2
+        points = 1 + node.commas + min(node.chars / 100, 3) if node.length >= MIN_PARAGRAPH else 0.2
         points *= 1 - _link_density(node)
         up, share = node.parent if node.tag != "div" or node.parent is None else node, 1.0
         while up is not None and share > 0.05:

@@ -1,3 +1,5 @@
+import time
+
 from starquay.llm.html_text import extract_text, main_text
 
 BODY = "This is a paragraph of the article, with commas, and enough words to count as text, as articles have."
@@ -72,3 +74,20 @@ def test_operator(spark):
     assert all(r.n_chars == len(r.text) for r in got)
     assert [r.text.count("\n") for r in got if r.page_id == 4] == [4999]
     assert extract_text(pages.where("false")).count() == 0
+
+
+def test_parts_behind_many_open_elements_are_dropped():
+    for tag in ("div", "span", "font"):
+        start = f"<{tag}>" * 5000
+        hidden = f"<nav>{BODY}</nav><footer>{BODY}</footer><div style='display:none'>{BODY}</div><form>{BODY}</form>"
+        assert main_text(f"{start}<p>{BODY}</p>{hidden}") == BODY
+    # End tags behind that point close what was opened behind it.
+    inner = f"<section><p>{BODY}</p></section>"
+    assert main_text(page("<article>" + "<div>" * 500 + inner * 3 + "</div>" * 500 + f"<p>{BODY}</p></article>")).count(BODY) == 4
+
+
+def test_depth_costs_no_more_than_length():
+    began = time.process_time()
+    main_text("".join(f"<div>{BODY}</x><span>" for _ in range(20_000)))
+    main_text("<font>" * 20_000 + f"<p>{BODY}</q></b>" * 20_000)
+    assert time.process_time() - began < 30
