@@ -159,7 +159,8 @@ def phrase_counts(docs: DataFrame, longest: int = 3, min_count: int = 10) -> Dat
     counted = shorter.where((F.col("size") == 0) | (complete & (F.col("n") >= min_count))).select(
         "lang", "size", F.when(F.col("size") > 0, phrase).alias("phrase"), "n"
     )
-    full = windows.where(F.col(last).isNotNull() & (F.col("n") >= min_count)).select(
+    # A filter on the last word alone would move below the exchange, which then serves one branch.
+    full = windows.where(F.when(F.col("n") >= min_count, F.col(last)).isNotNull()).select(
         "lang", F.lit(longest).alias("size"), F.concat_ws(" ", *words).alias("phrase"), "n"
     )
     return stage(counted.union(full), "phrase_counts")
