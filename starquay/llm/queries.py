@@ -17,6 +17,7 @@ from starquay.llm.jaccard_join import jaccard_components
 from starquay.llm.language_mixture import identify_languages
 from starquay.llm.line_quality import score_quality
 from starquay.llm.nearest import nearest
+from starquay.llm.personal_data import find_personal_data
 from starquay.llm.pfair_mix import mix_sources
 from starquay.llm.secret_scan import find_secrets
 
@@ -192,3 +193,8 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))

@@ -24,6 +24,9 @@ COLUMNS = {
     "op8_fuzzy_passages": "doc_id source_id start_word end_word",
     "op9_jaccard_join": "doc_id n_shingles component_id",
     "op10_nearest": "query_id rank vec_id score",
+    "op11_collocations": "lang rank phrase a l r n score",
+    "op12_importance_draw": "doc_id n_features weight score rank",
+    "op13_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
 }
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
