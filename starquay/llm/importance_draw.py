@@ -51,6 +51,14 @@ def _line_key(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
+def _runs_of(size: int, buckets: int) -> Column:
+    starts = F.when(F.size("words") >= size, F.sequence(F.lit(1), F.size("words") - (size - 1)))
+    return F.transform(
+        F.coalesce(starts, F.array().cast("array<int>")),
+        lambda i: _bucket(F.array_join(F.slice("words", i, size), " "), buckets),
+    )
+
+
 def _segments(docs: DataFrame, order: int, buckets: int) -> DataFrame:
     """(line_key, occurrences, n_words, features) per distinct line; features are buckets."""
     distinct = _lines(docs, []).groupBy("line").agg(F.count(F.lit(1)).alias("occurrences"))
@@ -61,12 +69,7 @@ def _segments(docs: DataFrame, order: int, buckets: int) -> DataFrame:
     )
     features = F.transform("words", lambda w: _bucket(w, buckets))
     for size in range(2, order + 1):
-        starts = F.when(F.size("words") >= size, F.sequence(F.lit(1), F.size("words") - (size - 1)))
-        runs_of = F.transform(
-            F.coalesce(starts, F.array().cast("array<int>")),
-            lambda i, size=size: _bucket(F.array_join(F.slice("words", i, size), " "), buckets),
-        )
-        features = F.concat(features, runs_of)
+        features = F.concat(features, _runs_of(size, buckets))
     return words.select(
         "line_key", "occurrences", F.size("words").cast("bigint").alias("n_words"),
         features.cast("array<int>").alias("features"),

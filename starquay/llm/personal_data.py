@@ -319,6 +319,10 @@ def _span(kind: Column, first: Column, last: Column) -> Column:
     return F.struct(_place(kind).alias("place"), first.alias("first"), last.alias("last"), kind.alias("kind"))
 
 
+def _of_kind(kind: str) -> Column:
+    return F.filter("base", lambda span: span["kind"] == kind)
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every document.
 
@@ -336,10 +340,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     )
     seeds = F.filter("mentions", lambda m: m["kind"].isNotNull())
     base = F.transform(seeds, lambda m: _span(m["kind"], m["first"], m["last"]))
-    counts = [
-        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-        for kind in KINDS
-    ]
+    counts = [F.size(_of_kind(kind)).cast("bigint").alias(f"n_{kind}") for kind in KINDS]
     every = F.when(F.col("found").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "found")))
     return (
         scanned.select("row", "doc_id", base.alias("base")).join(found, "row", "left")
