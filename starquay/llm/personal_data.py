@@ -250,7 +250,9 @@ def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(pattern), pa.array(n)], ["pattern", "total"])
 
     counted = docs.select("text").mapInArrow(count, "pattern bigint, total bigint")
-    return counted.join(patterns, "pattern", "left_semi").groupBy("pattern").agg(F.sum("total").alias("total"))
+    # Added up before the join, which then meets each pattern once and not once per chunk.
+    totals = counted.groupBy("pattern").agg(F.sum("total").alias("total"))
+    return totals.join(patterns, "pattern", "left_semi")
 
 
 def bootstrap(
