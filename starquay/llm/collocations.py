@@ -36,6 +36,7 @@ _GAP = _PIECE_END.copy()
 _GAP[[ord(" "), ord("\t")]] = True
 
 NO_LANG = "und"
+_TAB = "\t"
 CHUNK_BYTES = 8 << 20
 BATCH_ROWS = 1 << 16
 # Sampled documents that tell which beginnings are spread, and the share that makes one so.
@@ -55,7 +56,7 @@ def _ranges(size: int) -> int:
 
 
 def _counted(langs: pa.Array, texts: pa.Array, longest: int) -> pa.RecordBatch | None:
-    """The distinct windows of a few texts with their counts, in order."""
+    """The distinct windows of a few texts with their counts, in order of their words."""
     data, offsets = raw_bytes(texts)
     data = FOLD[data]
     row, start, end = runs(~_GAP[data], offsets)
@@ -89,14 +90,16 @@ def _counted(langs: pa.Array, texts: pa.Array, longest: int) -> pa.RecordBatch |
     for known in reversed(levels):
         value, at = known[at] % base, known[at] // base
         columns.append(vocabulary.take(pa.array(value - 1, mask=value == 0)))
-    names = ["lang", *(f"w{i}" for i in range(1, longest + 1)), "n"]
-    arrays = [lang.dictionary.take(pa.array(at)), *reversed(columns), pa.array(counts)]
-    return pa.RecordBatch.from_arrays(arrays, names)
+    last, *lead = columns
+    lead = [pc.fill_null(word, "") for word in reversed(lead)]
+    head = pc.binary_join_element_wise(lang.dictionary.take(pa.array(at)), *lead, _TAB)
+    return pa.RecordBatch.from_arrays([head, last, pa.array(counts)], ["head", "last", "n"])
 
 
 def lead_windows(docs: DataFrame, longest: int) -> DataFrame:
-    """(lang, w1 .. w<longest>, n): windows by their lead word, counted inside tasks."""
-    names = [f"w{i}" for i in range(1, longest + 1)]
+    """(head, last, n): windows by their lead word, counted inside tasks. ``head`` is the
+    language and all words but the last, with tabs between, as one string takes less
+    room in an exchange than a column per word; padding is an empty word, or a NULL ``last``."""
 
     def count(batches):
         for batch in batches:
@@ -107,61 +110,67 @@ def lead_windows(docs: DataFrame, longest: int) -> DataFrame:
                 for i in range(0, part.num_rows if part else 0, BATCH_ROWS):
                     yield part.slice(i, BATCH_ROWS)
 
-    fields = ", ".join(f"{name} string" for name in ["lang", *names])
-    return docs.select("lang", "text").mapInArrow(count, f"{fields}, n bigint")
+    return docs.select("lang", "text").mapInArrow(count, "head string, last string, n bigint")
 
 
-def _hot_beginnings(docs: DataFrame, longest: int) -> DataFrame:
-    """The beginnings of at least HOT_SHARE of the windows of a sample: at most 1 / HOT_SHARE rows."""
+def _apart(head: Column, longest: int) -> list[Column]:
+    """The columns lang, w1 .. of a head; padding is NULL. Only a language may hold tabs."""
+    if longest == 1:
+        return [head.alias("lang")]
+    words = F.substring_index(head, _TAB, 1 - longest)
+    parts = F.split(words, _TAB)
+    lang = F.substring(head, F.lit(1), F.length(head) - F.length(words) - 1)
+    return [lang.alias("lang"), *(F.nullif(parts[i], F.lit("")).alias(f"w{i + 1}") for i in range(longest - 1))]
+
+
+def _hot_heads(docs: DataFrame, longest: int) -> list[str]:
+    """The heads of at least HOT_SHARE of the windows of a sample: at most 1 / HOT_SHARE."""
     few = docs.select("lang", "text").orderBy(F.rand(0)).limit(SAMPLE)
-    lead = ["lang", *(f"w{i}" for i in range(1, longest))]
-    seen = lead_windows(few, longest).groupBy(*lead).agg(F.count(F.lit(1)).alias("rows"))
+    seen = lead_windows(few, longest).groupBy("head").agg(F.count(F.lit(1)).alias("rows"))
     share = F.col("rows") / F.sum("rows").over(Window.partitionBy())
-    return seen.where(F.col(lead[-1]).isNotNull()).withColumn("share", share).where(
-        F.col("share") >= HOT_SHARE
-    ).select(*lead)
+    return [row.head for row in seen.withColumn("share", share).where(F.col("share") >= HOT_SHARE).collect()]
 
 
 def phrase_counts(docs: DataFrame, longest: int = 3, min_count: int = 10) -> DataFrame:
     """(lang, size, phrase, n): how often each phrase of up to ``longest`` words occurs, if
     at least ``min_count`` times; size 0 and a NULL phrase for the number of words of a
     language. A table in the shared folder."""
-    words = [f"w{i}" for i in range(1, longest + 1)]
-    lead, last = ["lang", *words[:-1]], words[-1]
-    hot = _hot_beginnings(docs, longest).collect()
-    known = F.lit(False)
-    for row in hot:
-        known = known | reduce(Column.__and__, (F.col(c) == F.lit(row[c]) for c in lead))
-    spread = F.when(known, F.abs(F.hash(last)) % SPREAD)
+    lead = ["lang", *(f"w{i}" for i in range(1, longest))]
+    windows = lead_windows(docs, longest)
+    keys = ["head"]
+    hot = _hot_heads(docs, longest)
+    if hot:  # a constant column would hide from Spark that rows of a head are together
+        windows = windows.withColumn("spread", F.when(F.col("head").isin(hot), F.abs(F.hash("last")) % SPREAD))
+        keys.append("spread")
     windows = (
-        lead_windows(docs, longest)
-        .withColumn("spread", spread)
-        .repartitionByRange(_ranges(listed_bytes([docs.select("text")])), *lead, "spread")
-        .groupBy(*lead, "spread", last)
+        windows.repartitionByRange(_ranges(listed_bytes([docs.select("text")])), *keys)
+        .groupBy(*keys, "last")
         .agg(F.sum("n").alias("n"))
     )
-    beginnings = windows.groupBy(*lead, "spread").agg(F.sum("n").alias("n"))
-    # A beginning in one place that is too rare counts for its own beginnings only.
-    rare = F.col("spread").isNull() & (F.col("n") < min_count)
-    padded = beginnings.withColumn(lead[-1], F.when(~rare, F.col(lead[-1])))
+    heads = windows.groupBy(*keys).agg(F.sum("n").alias("n"))
+    # A head in one place that is too rare counts for its own beginnings only.
+    rare = F.col("n") < min_count
+    if hot:
+        rare = F.col("spread").isNull() & rare
+    padded = heads.select(*_apart(F.col("head"), longest), "n", rare.alias("rare"))
     if longest > 1:
-        levels = padded.rollup(*lead).agg(F.grouping_id().alias("left_out"), F.sum("n").alias("n"))
-    else:
-        levels = padded.groupBy(*lead).agg(F.lit(0).alias("left_out"), F.sum("n").alias("n"))
+        padded = padded.withColumn(lead[-1], F.when(~F.col("rare"), F.col(lead[-1])))
+    levels = padded.rollup(*lead).agg(F.grouping_id().alias("left_out"), F.sum("n").alias("n"))
     # grouping_id has one bit per column that is left out.
     size = F.lit(longest - 1) - F.bit_count("left_out")
-    phrase = F.concat_ws(" ", *words[:-1])
-    shorter = levels.select("lang", size.alias("size"), *words[:-1], "n")
+    shorter = levels.select("lang", size.alias("size"), *lead[1:], "n")
     # The row of a prefix whose last word is padding stands for no phrase of that size.
     complete = reduce(
         Column.__or__, [(F.col("size") == i) & F.col(f"w{i}").isNotNull() for i in range(1, longest)], F.lit(False)
     )
+    phrase = F.concat_ws(" ", *lead[1:])
     counted = shorter.where((F.col("size") == 0) | (complete & (F.col("n") >= min_count))).select(
         "lang", "size", F.when(F.col("size") > 0, phrase).alias("phrase"), "n"
     )
     # A filter on the last word alone would move below the exchange, which then serves one branch.
-    full = windows.where(F.when(F.col("n") >= min_count, F.col(last)).isNotNull()).select(
-        "lang", F.lit(longest).alias("size"), F.concat_ws(" ", *words).alias("phrase"), "n"
+    frequent = windows.where(F.when(F.col("n") >= min_count, F.col("last")).isNotNull())
+    full = frequent.select(*_apart(F.col("head"), longest), "last", "n").select(
+        "lang", F.lit(longest).alias("size"), F.concat_ws(" ", *lead[1:], "last").alias("phrase"), "n"
     )
     return stage(counted.union(full), "phrase_counts")
 

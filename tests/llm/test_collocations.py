@@ -94,7 +94,7 @@ def test_small_chunks_ranges_and_hot_beginnings(spark, monkeypatch):
     monkeypatch.setattr(module, "CHUNK_BYTES", 200)
     monkeypatch.setattr(module, "_ranges", lambda size: 7)
     monkeypatch.setattr(module, "HOT_SHARE", 1 / 50)
-    assert module._hot_beginnings(docs, 3).count() > 0
+    assert "en\tso\tfar" in module._hot_heads(docs, 3)
     assert rows_of(collocations(docs, 3, 3)) == expected
 
 
@@ -121,9 +121,15 @@ def test_empty_and_clashing_columns(spark):
     assert rows_of(collocations(clash)) == rows_of(collocations(docs)) != []
 
 
+def test_heads_come_apart(spark):
+    heads = spark.createDataFrame([("a\tb\tx\ty",), ("en\tw\t",), ("\tw\tv",)], "head string")
+    found = heads.select(*module._apart(heads["head"], 3)).collect()
+    assert [tuple(row) for row in found] == [("a\tb", "x", "y"), ("en", "w", None), ("", "w", "v")]
+
+
 def test_one_exchange_of_windows(spark):
-    """The counts of windows and of their beginnings come from one exchange by ranges."""
+    """The counts of windows and of their heads come from one exchange by ranges."""
     docs = documents(spark, ["a b c"] * 12)
-    windows = module.lead_windows(docs, 3).repartitionByRange(4, "lang", "w1", "w2").groupBy("lang", "w1", "w2", "w3")
-    plan = windows.sum("n").groupBy("lang", "w1", "w2").count()._jdf.queryExecution().executedPlan().toString()
+    windows = module.lead_windows(docs, 3).repartitionByRange(4, "head").groupBy("head", "last").sum("n")
+    plan = windows.groupBy("head").count()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
