@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import argparse
 
-from starquay.plans.load import check, full_load, read_raw, refresh, tables_of
+from starquay.plans.load import check, full_load, read_raw, read_unseen, refresh, tables_of
 from starquay.session import build_session, listed_bytes, size_shuffles
+from starquay.sources.ledger import list_files
+from starquay.sources.versions import remove_old
 from starquay.staging import discard
 
 
@@ -18,30 +20,38 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--demographics", help="CSV of city demographics, with ;")
     parser.add_argument("--labels", help="label text, or a glob of them")
     parser.add_argument("--output", required=True, help="root of the stored tables")
-    parser.add_argument("--append", action="store_true", help="add only what is new")
+    parser.add_argument("--append", action="store_true", help="read only new files, and keep what is stored")
+    parser.add_argument("--keep-versions", type=int, default=2, help="versions of the tables to keep")
     parser.add_argument("--input-bytes", type=int, help="size of the input, if not as listed, to size shuffles")
     parser.add_argument("--sparse-columns", help="comma-separated columns of the arrivals to leave out")
     options = parser.parse_args(arguments)
 
     spark = build_session()
-    raw = read_raw(
-        spark,
-        arrivals=options.arrivals,
-        temperature=options.temperature,
-        demographics=options.demographics,
-        labels=options.labels,
-        arrivals_format=options.arrivals_format,
-        arrivals_fallback=options.arrivals_fallback,
-    )
-    given = [df for df in vars(raw).values() if df is not None]
-    size_shuffles(spark, options.input_bytes or listed_bytes(given))
+    named = ("arrivals", "temperature", "demographics", "labels")
+    paths = {name: path for name in named if (path := getattr(options, name))}
     sparse = options.sparse_columns.split(",") if options.sparse_columns is not None else None
     try:
         if options.append:
-            refresh(spark, raw, options.output, sparse)
+            raw, files = read_unseen(spark, options.output, paths, options.arrivals_format)
         else:
-            full_load(raw, options.output, sparse)
-        check(spark, options.output, tables_of(raw)).show()
+            raw = read_raw(
+                spark,
+                **paths,
+                arrivals_format=options.arrivals_format,
+                arrivals_fallback=options.arrivals_fallback,
+            )
+            files = list_files(spark, paths)
+        given = [df for df in vars(raw).values() if df is not None]
+        size_shuffles(spark, options.input_bytes or listed_bytes(given))
+        if options.append and files is not None:
+            refresh(spark, raw, options.output, sparse, files)
+        elif not options.append:
+            full_load(raw, options.output, sparse, files)
+        remove_old(spark, options.output, options.keep_versions)
+        if given:
+            check(spark, options.output, tables_of(raw)).show()
+        else:
+            print("no new files")
     finally:
         discard(spark)
 

@@ -21,19 +21,24 @@ def missing_profile(df: DataFrame, ascending: bool = False) -> DataFrame:
     flags: Spark can take both counts from Parquet footers where aggregate
     push-down is on. NaN is a value.
     """
-    rows, share = F.count(F.lit(1)), "missing_percentage"
+    rows = F.count(F.lit(1))
     totals = df.agg(
         rows.alias(_ROWS), *((rows - F.count(named(c))).alias(c) for c in df.columns)
     )
+    counts = totals.unpivot([_ROWS], [named(c) for c in df.columns], "column_name", "missing_count")
+    return missing_report(counts, _ROWS, ascending)
+
+
+def missing_report(counts: DataFrame, rows: str, ascending: bool = False) -> DataFrame:
+    """(column_name, missing_count, ``rows``) as a profile: columns that have NULLs, with their
+    share, in order."""
+    share = "missing_percentage"
     return (
-        totals.unpivot(
-            [_ROWS], [named(c) for c in df.columns], "column_name", "missing_count"
-        )
-        .where(F.col("missing_count") > 0)
+        counts.where(F.col("missing_count") > 0)
         .select(
             "column_name",
             "missing_count",
-            percent_of(F.col("missing_count"), F.col(_ROWS)).alias(share),
+            percent_of(F.col("missing_count"), F.col(rows)).alias(share),
         )
         .orderBy(F.asc(share) if ascending else F.desc(share), "column_name")
     )

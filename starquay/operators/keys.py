@@ -22,6 +22,11 @@ def unique_key(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def largest_key(df: DataFrame, name: str) -> int:
+    """The largest key so far; 0 without rows."""
+    return df.agg(F.max(named(name))).first()[0] or 0
+
+
 def dense_key(
     df: DataFrame, name: str, order_by: Sequence[Column | str], start: int = 0
 ) -> DataFrame:

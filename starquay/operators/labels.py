@@ -14,10 +14,11 @@ carried from line to line, and as many texts at a time as there are tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starquay.functions.columns import text_before_comma, unquote
+from starquay.staging import stage
 
 # Section marker, end of a section, and entry of a label text.
 SECTION_START = r"(?m)(?=^[ \t]*value[ \t]+\$?\w)"
@@ -53,17 +54,85 @@ def label_entries(texts: DataFrame) -> DataFrame:
         ),
         "block",
     )
-    quoted = F.regexp_extract("entry", ENTRY, 1)
-    bare = F.regexp_extract("entry", ENTRY, 2)
-    return found.select(
-        "file",
-        "section",
-        (F.col("block").cast("bigint") * F.lit(1 << 32) + F.col("line")).alias("position"),
+    position = F.col("block").cast("bigint") * F.lit(1 << 32) + F.col("line")
+    return found.select("file", "section", position.alias("position"), *_parts(F.col("entry")))
+
+
+def _parts(entry: Column) -> list[Column]:
+    quoted, bare = F.regexp_extract(entry, ENTRY, 1), F.regexp_extract(entry, ENTRY, 2)
+    return [
         F.trim(F.concat(quoted, bare)).alias("code"),
-        unquote(F.regexp_extract("entry", ENTRY, 3)).alias("label"),
+        unquote(F.regexp_extract(entry, ENTRY, 3)).alias("label"),
+    ]
+
+
+def label_entries_of_splits(lines: DataFrame) -> DataFrame:
+    """(file, split, row, line) -> the entries of ``label_entries``, for texts too long for
+    one task. ``split`` is the byte at which a part of a file begins, and ``row`` rises with the
+    lines of a part; see ``readers.read_text_splits``.
+
+    An entry belongs to the section that the last marker before it began, unless that
+    has ended. Within a split that is a window over its lines. What a split hands on to
+    those behind it is one row, its last marker or end, so the carrying over splits is a
+    window over one row per split, and no task sees a whole file.
+    """
+    line = F.regexp_replace("line", r"\r$", "")
+    body = F.regexp_replace(line, r";[ \t]*$", "")
+    name = F.regexp_extract(line, SECTION_NAME, 1)
+    ends = line.rlike(r";[ \t]*$")
+    # What holds behind a line, where that changes: a section, or none.
+    event = F.when(ends, F.lit("")).when(name != "", name)
+    entry = F.when(body.rlike(ENTRY), body)
+    marked = lines.select("file", "split", "row", event.alias("event"), entry.alias("entry"))
+    marked = marked.where(F.col("event").isNotNull() | F.col("entry").isNotNull())
+    in_split = Window.partitionBy("file", "split").orderBy("row")
+    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    placed = stage(
+        marked.select(
+            "file", "split", "event", "entry",
+            F.row_number().over(in_split).alias("nth"),
+            F.last("event", ignorenulls=True).over(before).alias("inner"),
+        ),
+        "label_lines",
+    )
+    over_splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        placed.groupBy("file", "split")
+        .agg(F.max_by("event", F.when(F.col("event").isNotNull(), F.col("nth"))).alias("last"))
+        .select("file", "split", F.last("last", ignorenulls=True).over(over_splits).alias("outer"))
+    )
+    section = F.coalesce("inner", "outer", F.lit(""))
+    # A split has fewer lines than bytes, so positions rise from split to split as well.
+    return (
+        placed.where(F.col("entry").isNotNull())
+        .join(carried, ["file", "split"])
+        .withColumn("section", section)
+        .where(F.col("section") != "")
+        .select("file", "section", (F.col("split") + F.col("nth")).alias("position"), *_parts(F.col("entry")))
     )
 
 
+def entries_of(raw: DataFrame) -> DataFrame:
+    """The entries of whole texts (file, text), or of lines by split."""
+    return label_entries(raw) if "text" in raw.columns else label_entries_of_splits(raw)
+
+
+# What decides between entries of a section and code: the last of these wins.
+ENTRY_ORDER = ["file", "position", "label"]
+
+
+def last_entries(entries: DataFrame) -> DataFrame:
+    """One entry per section and code of the code lists, the last one, with all its columns.
+
+    ``max_by`` combines on the map side, so a code that is repeated in many files
+    is reduced before the shuffle.
+    """
+    rest = [c for c in entries.columns if c not in ("section", "code")]
+    lists = F.col("section").isin(COUNTRY_SECTION, CITY_SECTION, STATE_SECTION)
+    last = F.max_by(F.struct(*rest), F.struct(*ENTRY_ORDER)).alias("last")
+    return entries.where(lists).groupBy("section", "code").agg(last).select("section", "code", "last.*")
+
+
 def code_list(entries: DataFrame, section: str) -> DataFrame:
     """(code, label) of one section; the last entry of a code wins.
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starquay.schemas import TABLES
+from starquay.sources import versions
 
 EXPECTED = {name: table.schema for name, table in TABLES.items()}
 
@@ -41,6 +43,35 @@ def schema_report(
     return spark.createDataFrame(rows, "table_name string, ok boolean, detail string")
 
 
+def file_schema_report(
+    spark: SparkSession,
+    root: str,
+    names: Sequence[str] = tuple(TABLES),
+    at: versions.Version | None = None,
+    at_once: int = 16,
+) -> DataFrame:
+    """(table_name, file, ok, detail) per data file of the tables of a version.
+
+    A table is read with the schema of one of its files, so a file with another type, or
+    without a column, shows only when its footer is read. Each footer is read by a small job of
+    its own, ``at_once`` at a time. The partition column is in the path and not in files.
+    """
+    at = at or versions.latest(spark, root)
+    rows = []
+    for name in names:
+        table = TABLES[name]
+        fields = [field for field in table.schema if field.name != table.partition_by]
+
+        def judge(file: str, name: str = name, expected: StructType = StructType(fields)):
+            detail = _difference(spark.read.parquet(file).schema, expected)
+            return name, file, detail == "", detail
+
+        files = versions.leaf_files(spark, versions.paths_of(spark, root, name, at))
+        with ThreadPoolExecutor(max_workers=at_once) as pool:
+            rows += pool.map(judge, files)
+    return spark.createDataFrame(rows, "table_name string, file string, ok boolean, detail string")
+
+
 def require_schemas(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starquay.functions.columns import cast_to_schema, convert, named
@@ -128,24 +128,25 @@ def dim_demog_statistics(demographics: DataFrame) -> DataFrame:
     return with_key(statistics_rows(demographics), "dim_demog_statistics")
 
 
-def dim_temperature(raw: DataFrame, country: str = COUNTRY) -> DataFrame:
-    """One measured row per city and day of one country.
-
-    Of several rows for a city and day the lowest temperature stays, then the
-    first of the other needed columns in order. The key columns are part of the
-    output, so no further distinct is needed.
-    """
+def temperature_winners(raw: DataFrame, country: str = COUNTRY) -> DataFrame:
+    """One measured raw row per city and day of one country: the one with the lowest
+    temperature, then the first of the other needed columns in order."""
     measured = needed(raw, TEMPERATURE_COLUMNS).where(F.col("Country") == country).na.drop(
         "any", subset=["AverageTemperature"]
     )
-    single = first_per_key(
-        measured,
-        TEMPERATURE_KEY,
-        [F.col("AverageTemperature").try_cast("double").asc()],
-    )
+    return first_per_key(measured, TEMPERATURE_KEY, temperature_order())
+
+
+def temperature_order() -> list[Column]:
+    return [F.col("AverageTemperature").try_cast("double").asc()]
+
+
+def temperature_rows(winners: DataFrame) -> DataFrame:
+    """The typed rows of the winners. The key columns are part of the output, so no further
+    distinct is needed."""
     schema = TABLES["dim_temperature"].schema
-    date = convert(F.col("dt"), single.schema["dt"].dataType, schema["dt"].dataType)
-    rows = pick(single, TEMPERATURE_NAMES).withColumns(
+    date = convert(F.col("dt"), winners.schema["dt"].dataType, schema["dt"].dataType)
+    rows = pick(winners, TEMPERATURE_NAMES).withColumns(
         {
             "dt": date,
             "city": F.upper("city"),
@@ -157,6 +158,10 @@ def dim_temperature(raw: DataFrame, country: str = COUNTRY) -> DataFrame:
     return cast_to_schema(rows, schema)
 
 
+def dim_temperature(raw: DataFrame, country: str = COUNTRY) -> DataFrame:
+    return temperature_rows(temperature_winners(raw, country))
+
+
 def code_tables(texts: DataFrame) -> dict[str, DataFrame]:
     """The three code tables out of label texts (file, text)."""
     return code_tables_of(labels.label_entries(texts))

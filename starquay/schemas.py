@@ -129,7 +129,9 @@ class Table:
 
     ``natural_key`` orders rows, and identifies them where a table has one row per key.
     ``id_column`` is the dense surrogate key; the other columns of such a table are
-    what tells its rows apart, in a full load and in a refresh.
+    what tells its rows apart, in a full load and in a refresh. ``looked_up_by`` is what
+    questions filter by: rows lie sorted by it in the files of a partition, and the files
+    tell which values they hold, so that a scan skips the rest.
     """
 
     name: str
@@ -137,6 +139,7 @@ class Table:
     natural_key: tuple[str, ...]
     id_column: str | None = None
     partition_by: str | None = None
+    looked_up_by: str | None = None
 
     @property
     def identity(self) -> tuple[str, ...]:
@@ -161,6 +164,7 @@ TABLES: dict[str, Table] = {
             ("cic_id",),
             "immigration_id",
             "state_code",
+            "city_code",
         ),
         Table(
             "dim_immigration_personal",

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from starquay.functions.columns import named
 from starquay.schemas import RAW_ARRIVALS, TABLES
+from starquay.sources import versions
 
 _PATH_MISSING = "PATH_NOT_FOUND"
 _SOURCE_MISSING = "DATA_SOURCE_NOT_FOUND"
@@ -19,7 +20,9 @@ _NO_FILES = "UNABLE_TO_INFER_SCHEMA"
 
 
 def _absent(error: Exception) -> bool:
-    """True if the path or the format does not exist; no other error counts."""
+    """True if the path, the format or the table does not exist; no other error counts."""
+    if isinstance(error, versions.AbsentTable):
+        return True
     if isinstance(error, AnalysisException):
         return error.getCondition() in (_PATH_MISSING, _SOURCE_MISSING)
     return isinstance(error, Py4JJavaError) and f"[{_SOURCE_MISSING}]" in str(error)
@@ -27,7 +30,7 @@ def _absent(error: Exception) -> bool:
 
 def read_arrivals(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     format: str = "parquet",
     fallback: str | None = None,
     schema: StructType = RAW_ARRIVALS,
@@ -45,7 +48,7 @@ def read_arrivals(
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType, separator: str = ","
+    spark: SparkSession, path: str | list[str], schema: StructType, separator: str = ","
 ) -> DataFrame:
     """The declared columns of CSV files with a header line, by name.
 
@@ -70,13 +73,26 @@ def read_csv_inferred(spark: SparkSession, path: str, separator: str = ",") -> D
     return spark.read.csv(path, header=True, inferSchema=True, sep=separator)
 
 
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
+def read_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, text): one row per file, so that many files are read in parallel."""
     return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
     )
 
 
+def read_text_splits(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, split, row, line): a row per line of text files of any length. Spark reads a
+    long file in many tasks; ``split`` is the byte at which a task's part of it begins, and
+    ``row`` rises with the lines of a part."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").alias("line"),
+    )
+
+
 def text_lines(texts: DataFrame, *keep: str) -> DataFrame:
     """Columns ``keep`` and (line_no, line) of each ``text``, line_no from 0. Every
     line of every text, whichever way lines end."""
@@ -85,40 +101,50 @@ def text_lines(texts: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored warehouse table with its expected columns. The declared schema keeps
-    a partition column of digits text."""
-    return spark.read.schema(TABLES[name].schema).parquet(f"{root}/{name}")
+def read_table(
+    spark: SparkSession, root: str, name: str, at: versions.Version | None = None
+) -> DataFrame:
+    """A stored warehouse table with its expected columns, of the current version or the
+    one given. The declared schema keeps a partition column of digits text."""
+    return versions.read(spark, root, name, TABLES[name].schema, at)
 
 
-def read_table_as_stored(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_table_as_stored(
+    spark: SparkSession, root: str, name: str, at: versions.Version | None = None
+) -> DataFrame:
     """A stored table with the schema found in its files, for checks. A table
     without files has its expected schema and no rows."""
-    path, partition = f"{root}/{name}", TABLES[name].partition_by
+    partition = TABLES[name].partition_by
     try:
-        found = spark.read.parquet(path)
+        found = versions.read(spark, root, name, at=at)
     except AnalysisException as error:
         if error.getCondition() != _NO_FILES:
             raise
-        return read_table(spark, root, name)
+        return read_table(spark, root, name, at)
+    if not found.columns:
+        return read_table(spark, root, name, at)
     if partition not in found.columns:
         return found
     # Directory names carry no type, so that of the partition column is declared.
     expected = TABLES[name].schema[partition]
     fields = [expected if field.name == partition else field for field in found.schema]
-    return spark.read.schema(StructType(fields)).parquet(path)
+    return versions.read(spark, root, name, StructType(fields), at)
 
 
 def stored_tables(
-    spark: SparkSession, root: str, names: Iterable[str] = tuple(TABLES)
+    spark: SparkSession,
+    root: str,
+    names: Iterable[str] = tuple(TABLES),
+    at: versions.Version | None = None,
 ) -> dict[str, DataFrame]:
-    """Reader per registered table that exists under ``root``. Goes by the registry,
-    so that a table that is absent shows."""
+    """Reader per registered table that exists under ``root``, all of one version. Goes by
+    the registry, so that a table that is absent shows."""
+    at = at or versions.latest(spark, root)
     found = {}
     for name in names:
         try:
-            found[name] = read_table_as_stored(spark, root, name)
-        except AnalysisException as error:
+            found[name] = read_table_as_stored(spark, root, name, at)
+        except (AnalysisException, versions.AbsentTable) as error:
             if not _absent(error):
                 raise
     return found

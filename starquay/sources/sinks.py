@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starquay.functions.columns import named
-from starquay.operators.keys import dense_key
+from starquay.operators.keys import dense_key, largest_key
 from starquay.schemas import TABLES, Table
+from starquay.sources import versions
 from starquay.sources.readers import read_table, stored_tables
 from starquay.staging import stage
 
@@ -20,6 +24,7 @@ def write_table(
     mode: str = "overwrite",
     partition_by: str | None = None,
     only_given_partitions: bool = False,
+    looked_up_by: str | None = None,
 ) -> None:
     """Write Parquet, in one directory per value of ``partition_by`` if given.
 
@@ -27,11 +32,22 @@ def write_table(
     not get a file from every task, and lets AQE split a value that holds a large
     share of the rows over several tasks of the advisory size.
     ``only_given_partitions`` leaves the other partitions of the table in place.
+
+    With ``looked_up_by`` the rows of a task are sorted by that column, which costs
+    little, as rows are sorted by partition anyway; the ranges and Bloom filters in the files
+    then let a filter on it skip row groups and pages.
     """
+    if partition_by is not None:
+        df = df.hint("rebalance", partition_by)
+    if looked_up_by is not None:
+        df = df.sortWithinPartitions(*map(named, filter(None, (partition_by, looked_up_by))))
+    writer = df.write.mode(mode)
+    if looked_up_by is not None:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{looked_up_by}", "true")
     if partition_by is None:
-        df.write.mode(mode).parquet(path)
+        writer.parquet(path)
         return
-    writer = df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by)
+    writer = writer.partitionBy(partition_by)
     if mode == "overwrite" and only_given_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -54,16 +70,29 @@ def new_rows(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFr
     return keyed.join(fresh, _KEY, "left_semi").drop(_KEY)
 
 
-def append_new_rows(
-    spark: SparkSession, incoming: DataFrame, root: str, table: Table, order_by=None
-) -> None:
-    """Append-only refresh of a stored table: add what is not there yet.
-
-    What is new is told by ``table.identity``: the whole row but its surrogate key, or
-    the key of a table with one row per key. So a load and a refresh leave the rows of
-    one load of both. A table that was never written is empty. Keys of new rows go on
-    from the largest stored one. A second run with the same rows adds nothing. Not safe
-    for two loads of one table at a time.
+def write_segment(df: DataFrame, root: str, name: str, as_files: bool = False) -> list[str]:
+    """Write rows of a table to a segment of its own, which no version names yet, and return
+    its path under ``root``, or with ``as_files`` the paths of its files. A registered
+    table is laid out as its entry says."""
+    segment = versions.new_segment(name)
+    table = TABLES.get(name)
+    layout = {}
+    if table is not None:
+        layout = {key: c for key in ("partition_by", "looked_up_by") if (c := getattr(table, key)) in df.columns}
+    write_table(df, f"{root}/{segment}", **layout)
+    return versions.data_files(df.sparkSession, root, [segment]) if as_files else [segment]
+
+
+def added_rows(
+    spark: SparkSession, incoming: DataFrame, root: str, table: Table, base: versions.Version, order_by=None
+) -> list[str]:
+    """The paths of a stored table of ``base`` with what is new in ``incoming`` added, in a
+    segment that is not published yet. For tables of which a row is all that identifies it.
+
+    What is new is told by ``table.identity``: the whole row but its surrogate key. So a
+    load and a refresh leave the rows of one load of both. A table that was never written
+    is empty. Keys of new rows go on from the largest stored one. A second run with the
+    same rows adds nothing.
     """
     given = incoming.schema
     expected = [f for f in table.schema if f.name != table.id_column]
@@ -71,20 +100,68 @@ def append_new_rows(
     wrong = [f.name for f in expected if found.get(f.name) != f.dataType]
     if wrong:
         raise TypeError(f"{table.name}: columns absent or of another type: {', '.join(wrong)}")
-    is_new = table.name not in stored_tables(spark, root, [table.name])
-    stored = spark.createDataFrame([], table.schema) if is_new else read_table(spark, root, table.name)
+    is_new = table.name not in stored_tables(spark, root, [table.name], base)
+    stored = spark.createDataFrame([], table.schema) if is_new else read_table(spark, root, table.name, base)
+    paths = [] if is_new else list(base.tables.get(table.name, [table.name]))
     if table.id_column:
         incoming = incoming.distinct()
     fresh = new_rows(stored, incoming, list(table.identity))
+    if not is_new and fresh.isEmpty():
+        return paths
     if table.id_column:
-        last = stored.agg(F.max(table.id_column)).first()[0] or 0
+        last = largest_key(stored, table.id_column)
         fresh = dense_key(fresh, table.id_column, order_by or table.natural_key, start=last)
-    write_table(
-        fresh.select(*map(named, table.schema.names)),
-        f"{root}/{table.name}",
-        mode="append",
-        partition_by=table.partition_by,
-    )
+    fresh = fresh.select(*map(named, table.schema.names))
+    return paths + write_segment(fresh, root, table.name)
+
+
+def append_new_rows(
+    spark: SparkSession, incoming: DataFrame, root: str, table: Table, order_by=None
+) -> None:
+    """Append-only refresh of one stored table, published by itself; see ``added_rows``."""
+    base = versions.latest(spark, root)
+    versions.publish(spark, root, base, {table.name: added_rows(spark, incoming, root, table, base, order_by)})
+
+
+def key_of(columns: Sequence[Column | str]) -> Column:
+    """Columns as one struct, in which NULL equals NULL."""
+    return F.struct(*(named(c) if isinstance(c, str) else c for c in columns)).alias(_KEY)
+
+
+def replaced_rows(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    schema: StructType,
+    paths: Sequence[str],
+    key: Sequence[str],
+    keys: DataFrame,
+    rows: DataFrame,
+) -> list[str]:
+    """The files of a table with all rows of some keys replaced by ``rows``: copy on write.
+
+    ``keys`` holds a struct as made by ``key_of``, once each. Only files that hold a row of
+    such a key are written anew, without those rows; the others stay as they are, and
+    keys that are new rewrite nothing. ``paths`` are those of the table under ``root``;
+    what is returned is not published yet. The names of the files that are hit come to
+    the driver, as those of all files do whenever a table is read.
+    """
+    held = versions.data_files(spark, root, paths)
+
+    def read(given: list[str]) -> DataFrame:
+        return spark.read.schema(schema).parquet(*(f"{root}/{path}" for path in given))
+
+    hit: set[str] = set()
+    if held:
+        marked = read(held).select(key_of(key), F.col("_metadata.file_name").alias("file"))
+        hit = {row.file for row in marked.join(keys, _KEY, "left_semi").select("file").distinct().collect()}
+    rewritten = [path for path in held if path.rsplit("/", 1)[1] in hit]
+    written = rows.select(*map(named, schema.names))
+    if rewritten:
+        old = read(rewritten).withColumn(_KEY, key_of(key))
+        written = old.join(keys, _KEY, "left_anti").drop(_KEY).unionByName(written)
+    untouched = [path for path in held if path not in rewritten]
+    return untouched + write_segment(written, root, name, as_files=True)
 
 
 def publish(tables: dict[str, DataFrame]) -> None:
@@ -96,7 +173,8 @@ def publish(tables: dict[str, DataFrame]) -> None:
 def publish_warehouse(spark: SparkSession, root: str) -> None:
     """Name the stored tables in SQL. The views read Parquet, so a query does not
     run the cleaning again."""
-    publish({name: read_table(spark, root, name) for name in TABLES})
+    at = versions.latest(spark, root)
+    publish({name: read_table(spark, root, name, at) for name in TABLES})
 
 
 def write_csv_sample(df: DataFrame, path: str, rows: int, order_by: list[str]) -> None:

@@ -14,16 +14,27 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starquay.files import delete
+
 _SETTING = "spark.checkpoint.dir"
 _WAREHOUSE = "spark.sql.warehouse.dir"
+_DEFAULT_WAREHOUSE = "spark-warehouse"
 _written: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``, or set on the context; else one in the
-    warehouse, which Spark shares between all machines."""
+    warehouse, which Spark shares between all machines. Without either, on several machines,
+    an error: the warehouse is then a folder of the driver's disk, which executors
+    do not see."""
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    return folder or spark.conf.get(_WAREHOUSE).rstrip("/") + "/staging"
+    if folder:
+        return folder
+    warehouse = spark.conf.get(_WAREHOUSE).rstrip("/")
+    local = spark.sparkContext.master.startswith("local")
+    if not local and warehouse.startswith("file:") and warehouse.endswith(f"/{_DEFAULT_WAREHOUSE}"):
+        raise ValueError(f"set {_SETTING} to a folder that all machines share")
+    return f"{warehouse}/staging"
 
 
 def _folder(spark: SparkSession) -> str:
@@ -46,12 +57,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(path, True)
-
-
 @contextmanager
 def released(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what this thread staged inside the block, failed or not. Frames
@@ -61,10 +66,10 @@ def released(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _written.get():
-            _delete(spark, path)
+            delete(spark, path)
         _written.reset(mark)
 
 
 def discard(spark: SparkSession) -> None:
     """Remove what this application staged. Frames that read it become invalid."""
-    _delete(spark, _folder(spark))
+    delete(spark, _folder(spark))

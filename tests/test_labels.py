@@ -1,8 +1,10 @@
 import random
 
+import pytest
+
 from starquay.operators import labels
 from starquay.plans.tables import code_tables
-from starquay.sources.readers import read_texts, text_lines
+from starquay.sources.readers import read_text_splits, read_texts, text_lines
 
 TEXT = "\r\n".join(
     [
@@ -118,6 +120,46 @@ def test_any_label_survives_the_round_trip(spark):
     assert listed(found) == sorted(expected)
 
 
+@pytest.fixture
+def small_splits(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "150", "spark.sql.files.openCostInBytes": "0"}
+    before = {key: spark.conf.get(key) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_a_long_text_is_parsed_in_splits(spark, tmp_path, small_splits):
+    """The same entries, in the same order, as from the whole text, wherever it is split."""
+    rng = random.Random(7)
+    for name in ("a", "b"):
+        lines = ["/* head 'Z' = 'before any section' */", "'Y'='nor this'"]
+        for n in range(120):
+            lines.append(
+                rng.choice([f" value $s{n % 5}", f"'C{n % 9}' = 'it''s {n}, or so'", f" {n} =\t'N {n}' ;", ";", "", " junk ; ", f"'D{n}'='semi; {n};'"])
+            )
+        (tmp_path / f"{name}.sas").write_bytes(rng.choice(["\n", "\r\n"]).join(lines).encode())
+    path = f"{tmp_path}/*.sas"
+    parts = read_text_splits(spark, path)
+    assert parts.select("file", "split").distinct().count() > 10
+    found, whole = labels.label_entries_of_splits(parts), labels.label_entries(read_texts(spark, path))
+    assert found.columns == whole.columns and found.dtypes == whole.dtypes
+
+    def in_order(df):
+        return [(r.file, r.section, r.code, r.label) for r in df.orderBy("file", "position").collect()]
+
+    assert in_order(found) == in_order(whole) != []
+    last = [labels.last_entries(df).select("section", "code", "label") for df in (found, whole)]
+    assert listed(last[0]) == listed(last[1])
+
+
+def test_splits_of_nothing(spark):
+    empty = spark.createDataFrame([], "file string, split bigint, row bigint, line string")
+    assert labels.entries_of(empty).collect() == []
+
+
 def test_placeholders_are_flagged_not_dropped(spark):
     found = labels.country_codes(entries(spark, TEXT))
     flagged = found.where(labels.is_placeholder(found["country"]))

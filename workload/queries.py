@@ -15,7 +15,7 @@ from starquay.functions import columns as C
 from starquay.operators import cleaning, keys, labels
 from starquay.plans import analytics, load, quality, tables
 from starquay.schemas import RAW_DEMOGRAPHICS, RAW_TEMPERATURE, TABLES, columns
-from starquay.sources import readers, sinks
+from starquay.sources import readers, sinks, versions
 from starquay.staging import new_path
 from workload import standins
 from workload.standins import table
@@ -108,7 +108,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey
     ORDER BY CAST(c_custkey AS VARCHAR) DESC) AS rn FROM customer) t
 WHERE rn = 1
 UNION ALL
-SELECT 'C' || CAST(c_custkey AS VARCHAR), 'INT''L ' || c_mktsegment FROM customer"""
+SELECT 'C' || CAST(c_custkey AS VARCHAR), 'INT''L ' || c_mktsegment FROM customer
+UNION ALL
+SELECT DISTINCT 'P' || CAST(c_custkey % 25 AS VARCHAR), 'CITY ' || CAST(c_custkey % 25 AS VARCHAR) FROM customer"""
 STATE_SQL = """
 SELECT 'S' || CAST(c_custkey AS VARCHAR) AS code, c_mktsegment AS state FROM customer"""
 
@@ -340,21 +342,99 @@ def w4_refresh_equals_full_load(spark, sf_dir):
     return readers.read_table(spark, root, "fact_immigration").drop("immigration_id")
 
 
-@query(
-    f"""SELECT * EXCLUDE (demog_pop_id) FROM ({POPULATION_SQL}) a
-    UNION SELECT * EXCLUDE (demog_pop_id) REPLACE (CAST(foreign_born + 1 AS INTEGER) AS foreign_born)
-    FROM ({POPULATION_SQL}) b"""
-)
-def w4_refresh_with_new_figures(spark, sf_dir):
+# The raw rows of two batches: the given ones, and the same keys with other values.
+_LATER_TOWNS = """(SELECT * FROM lineitem
+  UNION ALL SELECT * REPLACE (l_suppkey + 1 AS l_suppkey) FROM lineitem) batches"""
+_LATER_MONTHS = """(SELECT * FROM events UNION ALL
+  SELECT * REPLACE (CASE WHEN user_id % 2 = 0 THEN value - 1 ELSE value + 1 END AS value) FROM events) batches"""
+_LATER_LABELS = """(SELECT c_custkey, c_name, c_nationkey, c_mktsegment, CAST(c_custkey AS VARCHAR) AS file FROM customer
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, 'NEW ' || c_mktsegment, 'z' || CAST(c_custkey AS VARCHAR)
+  FROM customer WHERE c_acctbal > 0) batches"""
+
+
+def _two_batches_of_towns(spark, sf_dir) -> str:
     """The next year brings the same towns with other figures."""
     root = new_path(spark, "w4")
     raw = standins.raw_demographics(spark, sf_dir)
     later = raw.withColumn("Foreign-born", (F.col("Foreign-born").cast("int") + 1).cast("string"))
     load.full_load(load.RawFrames(demographics=raw), root)
     load.refresh(spark, load.RawFrames(demographics=later), root)
+    return root
+
+
+@query(
+    f"SELECT * EXCLUDE (demog_pop_id) FROM ({POPULATION_SQL.replace('FROM lineitem', f'FROM {_LATER_TOWNS}')}) t"
+)
+def w4_refresh_with_new_figures(spark, sf_dir):
+    """One row per town and race is left, the one that a load of both years would pick."""
+    root = _two_batches_of_towns(spark, sf_dir)
     return readers.read_table(spark, root, "dim_demog_population").drop("demog_pop_id")
 
 
+@query(
+    f"SELECT * EXCLUDE (demog_stat_id) FROM ({STATISTICS_SQL.replace('FROM lineitem', f'FROM {_LATER_TOWNS}')}) t"
+)
+def w4_demographics_equal_full_load(spark, sf_dir):
+    root = _two_batches_of_towns(spark, sf_dir)
+    return readers.read_table(spark, root, "dim_demog_statistics").drop("demog_stat_id")
+
+
+@query(TEMPERATURE_SQL.replace("FROM events", f"FROM {_LATER_MONTHS}"))
+def w4_merge_equals_full_load(spark, sf_dir):
+    """A later batch measures known cities and days again, colder or warmer."""
+    root = new_path(spark, "w4")
+    events = table(spark, sf_dir, "events")
+    again = F.expr("case when user_id % 2 = 0 then value - 1 else value + 1 end")
+    later = standins.raw_temperature(spark, sf_dir, events.withColumn("value", again))
+    load.full_load(load.RawFrames(temperature=standins.raw_temperature(spark, sf_dir)), root)
+    load.refresh(spark, load.RawFrames(temperature=later), root)
+    return readers.read_table(spark, root, "dim_temperature")
+
+
+@query(
+    f"""SELECT list, code, label FROM (SELECT *, row_number() OVER (PARTITION BY list, code ORDER BY file DESC) AS rn FROM (
+      SELECT 'country_code' AS list, CAST(c_custkey AS VARCHAR) AS code, c_name || ' (' || c_mktsegment || ')' AS label,
+        file FROM {_LATER_LABELS}
+      UNION ALL SELECT 'city_code', 'N' || CAST(c_nationkey AS VARCHAR), 'PORT ' || CAST(c_custkey AS VARCHAR), file
+      FROM {_LATER_LABELS}
+      UNION ALL SELECT 'city_code', 'C' || CAST(c_custkey AS VARCHAR), 'INT''L ' || c_mktsegment, file FROM {_LATER_LABELS}
+      UNION ALL SELECT 'city_code', 'P' || CAST(c_custkey % 25 AS VARCHAR), 'CITY ' || CAST(c_custkey % 25 AS VARCHAR), file
+      FROM {_LATER_LABELS}
+      UNION ALL SELECT 'state_code', 'S' || CAST(c_custkey AS VARCHAR), c_mktsegment, file FROM {_LATER_LABELS}) e) t
+    WHERE rn = 1"""
+)
+def w4_merged_codes_equal_full_load(spark, sf_dir):
+    """Later files give known codes other labels."""
+    root = new_path(spark, "w4")
+    some = table(spark, sf_dir, "customer").where("c_acctbal > 0")
+    some = some.withColumn("c_mktsegment", F.concat(F.lit("NEW "), "c_mktsegment"))
+    later = standins.label_texts(spark, sf_dir, some, "concat('z', c_custkey)")
+    load.full_load(load.RawFrames(labels=standins.label_texts(spark, sf_dir)), root)
+    load.refresh(spark, load.RawFrames(labels=later), root)
+    names = ("country_code", "city_code", "state_code")
+    lists = [readers.read_table(spark, root, name).toDF("code", "label").withColumn("list", F.lit(name)) for name in names]
+    return lists[0].unionByName(lists[1]).unionByName(lists[2])
+
+
+@query(
+    """SELECT 1 AS batch, TRUE AS new_files, count(*) AS rows_stored FROM orders
+    UNION ALL SELECT 2, FALSE, count(*) FROM orders"""
+)
+def w4_refresh_reads_only_new_files(spark, sf_dir):
+    """Raw files by status; the second time the ledger knows them all, so none is read."""
+    folder, root = new_path(spark, "raw"), new_path(spark, "w4")
+    raw = standins.raw_arrivals(spark, sf_dir).where("cicid is not null")
+    raw.write.parquet(folder)
+    found = []
+    for batch in (1, 2):
+        frames, files = load.read_unseen(spark, root, {"arrivals": folder})
+        if files is not None:
+            load.refresh(spark, frames, root, files=files)
+        stored = readers.read_table(spark, root, "fact_immigration").count()
+        found.append((batch, files is not None, stored))
+    return spark.createDataFrame(found, "batch int, new_files boolean, rows_stored bigint")
+
+
 @query(
     "SELECT event_id, event_type, value FROM events WHERE event_type = 'purchase' ORDER BY event_id LIMIT 5000"
 )
@@ -782,19 +862,31 @@ def l1_label_entries(spark, sf_dir):
     return labels.label_entries(texts).select("section", "code", "label")
 
 
-@query(
-    f"""SELECT 'i94cntyl' AS section, code, country AS label FROM ({COUNTRY_SQL}) a
+_LABEL_SQL = f"""SELECT 'i94cntyl' AS section, code, country AS label FROM ({COUNTRY_SQL}) a
     UNION ALL SELECT 'i94prtl', 'N' || CAST(c_nationkey AS VARCHAR),
       'PORT ' || CAST(c_custkey AS VARCHAR) || ', XX' FROM customer
     UNION ALL SELECT 'i94prtl', 'C' || CAST(c_custkey AS VARCHAR), 'INT''L ' || c_mktsegment FROM customer
+    UNION ALL SELECT 'i94prtl', 'P' || CAST(c_custkey % 25 AS VARCHAR),
+      'CITY ' || CAST(c_custkey % 25 AS VARCHAR) || ', XX' FROM customer
     UNION ALL SELECT 'i94model', '1', 'Air' FROM customer
     UNION ALL SELECT 'i94addrl', code, state FROM ({STATE_SQL}) c"""
-)
+
+
+@query(_LABEL_SQL)
 def l1_customer_label_texts(spark, sf_dir):
     entries = labels.label_entries(standins.label_texts(spark, sf_dir))
     return entries.select("section", "code", "label")
 
 
+@query(_LABEL_SQL)
+def l1_label_splits(spark, sf_dir):
+    """All label texts in a few long files, which are parsed in parts."""
+    path = new_path(spark, "labels")
+    standins.label_texts(spark, sf_dir).select("text").write.text(path)
+    entries = labels.label_entries_of_splits(readers.read_text_splits(spark, path))
+    return entries.select("section", "code", "label")
+
+
 @query(COUNTRY_SQL)
 def l2_country_codes(spark, sf_dir):
     return labels.country_codes(labels.label_entries(standins.label_texts(spark, sf_dir)))
@@ -911,6 +1003,29 @@ def q1_schema_report(spark, sf_dir):
     return report.drop("detail").join(quality.row_counts(found), "table_name")
 
 
+@query(
+    """SELECT 'state_code' AS table_name, 'S' || CAST(n AS VARCHAR) AS part, ok, c AS records
+    FROM (VALUES (1, TRUE), (2, FALSE), (3, FALSE)) AS v(n, ok), (SELECT count(*) AS c FROM customer) t"""
+)
+def q1_file_schemas(spark, sf_dir):
+    """Three parts of a table: as it should be, with a number for a text, without a column."""
+    root = new_path(spark, "q1")
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("code"), F.col("c_mktsegment").alias("state")
+    )
+    parts = {"S1": rows, "S2": rows.withColumn("code", F.col("code").cast("int")), "S3": rows.drop("state")}
+    paths = {name: sinks.write_segment(df, root, "state_code") for name, df in parts.items()}
+    versions.publish(spark, root, versions.Version(), {"state_code": [p for held in paths.values() for p in held]})
+    report = quality.file_schema_report(spark, root, ["state_code"])
+    names = F.create_map(*(F.lit(x) for name, (path,) in paths.items() for x in (path.rsplit("=", 1)[1], name)))
+    part = names[F.regexp_extract("file", r"segment=(\w+)", 1)]
+    found = report.groupBy("table_name", part.alias("part")).agg(F.bool_and("ok").alias("ok"))
+    sizes = [
+        df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("part"), "records") for name, df in parts.items()
+    ]
+    return found.join(sizes[0].unionByName(sizes[1]).unionByName(sizes[2]), "part")
+
+
 @query(
     "SELECT 'orders' AS table_name, count(*) AS records FROM orders UNION ALL SELECT 'events', count(*) FROM events"
 )
@@ -1100,18 +1215,11 @@ def wh_g3_city_codes(spark, sf_dir):
 
 @query(
     f"""SELECT fact_immigration.*, city_code.city AS city FROM {_of("fact_immigration")}
-    JOIN {_of("city_code")} ON city_code.code = replace(fact_immigration.city_code, 'P', 'N')
+    JOIN {_of("city_code")} ON city_code.code = fact_immigration.city_code
     ORDER BY cic_id, immigration_id LIMIT 10"""
 )
 def wh_g4_arrivals_with_city(spark, sf_dir):
-    fact, codes = stored(spark, sf_dir, "fact_immigration", "city_code")
-    return analytics.arrivals_with_city(fact, _as_ports(codes))
-
-
-def _as_ports(codes: DataFrame) -> DataFrame:
-    """The stand-in arrivals name their ports P0 to P24; the code list calls them N0 to N24."""
-    ports = codes.where(F.col("code").startswith("N"))
-    return ports.withColumn("code", F.concat(F.lit("P"), F.substring("code", 2, 9)))
+    return analytics.arrivals_with_city(*stored(spark, sf_dir, "fact_immigration", "city_code"))
 
 
 @query(
@@ -1122,20 +1230,9 @@ def wh_g5_warmest(spark, sf_dir):
     return analytics.warmest_records(*stored(spark, sf_dir, "dim_temperature"))
 
 
-# Ports by the name of a measured city: each lies in the city of its number.
-_PORT_CITY_SQL = """(SELECT DISTINCT city_code AS code, 'CITY ' || substr(city_code, 2) AS city
-  FROM (SELECT 'P' || CAST(o_custkey % 25 AS VARCHAR) AS city_code FROM orders) p) port"""
-
-
-def _port_cities(fact: DataFrame) -> DataFrame:
-    name = F.concat(F.lit("CITY "), F.substring("city_code", 2, 9))
-    return fact.select(F.col("city_code").alias("code"), name.alias("city")).distinct()
-
-
-@query(f"SELECT dim_temperature.*, code FROM {_of('dim_temperature')} JOIN {_PORT_CITY_SQL} USING (city)")
+@query(f"SELECT dim_temperature.*, code FROM {_of('dim_temperature')} JOIN {_of('city_code')} USING (city)")
 def wh_g6_port_temperatures(spark, sf_dir):
-    temperature, fact = stored(spark, sf_dir, "dim_temperature", "fact_immigration")
-    return analytics.port_temperatures(temperature, _port_cities(fact))
+    return analytics.port_temperatures(*stored(spark, sf_dir, "dim_temperature", "city_code"))
 
 
 @query(
@@ -1146,38 +1243,39 @@ def wh_g7_mean_by_city(spark, sf_dir):
     return means.withColumn("average_temp", F.round("average_temp", 4))
 
 
+_STAR = ("dim_temperature", "city_code", "fact_immigration")
+
+
 @query(
     f"""SELECT avg_temp, city, fact_immigration.country AS country, count(*) AS arrivals
-    FROM {_of("dim_temperature")} JOIN {_PORT_CITY_SQL} USING (city)
-    JOIN {_of("fact_immigration")} ON city_code = code GROUP BY 1, 2, 3"""
+    FROM {_of("dim_temperature")} JOIN {_of("city_code")} USING (city)
+    JOIN {_of("fact_immigration")} ON fact_immigration.city_code = city_code.code GROUP BY 1, 2, 3"""
 )
 def wh_g8_temperature_at_arrival(spark, sf_dir):
-    temperature, fact = stored(spark, sf_dir, "dim_temperature", "fact_immigration")
-    return analytics.temperature_at_arrival(temperature, _port_cities(fact), fact)
+    return analytics.temperature_at_arrival(*stored(spark, sf_dir, *_STAR))
 
 
 @query(
     f"""SELECT code AS city_code, city, measurements, arrivals, measurements * arrivals AS pairs,
       round(average_temp, 4) AS average_temp
-    FROM {_PORT_CITY_SQL}
+    FROM {_of("city_code")}
     JOIN (SELECT city, count(*) AS measurements, avg(CAST(avg_temp AS DOUBLE)) AS average_temp
       FROM {_of("dim_temperature")} GROUP BY city) m USING (city)
     JOIN (SELECT city_code AS code, count(*) AS arrivals FROM {_of("fact_immigration")}
       GROUP BY city_code) a USING (code)"""
 )
 def wh_g8_star_totals(spark, sf_dir):
-    temperature, fact = stored(spark, sf_dir, "dim_temperature", "fact_immigration")
-    totals = analytics.star_totals(temperature, _port_cities(fact), fact)
+    totals = analytics.star_totals(*stored(spark, sf_dir, *_STAR))
     return totals.withColumn("average_temp", F.round("average_temp", 4))
 
 
 @query(
-    f"""SELECT city, visa FROM {_of("fact_immigration")} JOIN {_PORT_CITY_SQL} ON code = city_code
-    WHERE city_code = 'P7'"""
+    f"""SELECT city, visa FROM {_of("fact_immigration")}
+    JOIN {_of("city_code")} ON city_code.code = fact_immigration.city_code
+    WHERE fact_immigration.city_code = 'P7'"""
 )
 def wh_g9_visa_at_port(spark, sf_dir):
-    (fact,) = stored(spark, sf_dir, "fact_immigration")
-    return analytics.visa_at_port(fact, _port_cities(fact), "P7")
+    return analytics.visa_at_port(*stored(spark, sf_dir, "fact_immigration", "city_code"), "P7")
 
 
 def _preview(name: str) -> Query:

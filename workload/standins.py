@@ -97,8 +97,9 @@ def _shaped(source: DataFrame, schema, expressions: dict[str, str]) -> DataFrame
     )
 
 
-def raw_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shaped(table(spark, sf_dir, "events"), RAW_TEMPERATURE, _TEMPERATURE)
+def raw_temperature(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    source = table(spark, sf_dir, "events") if events is None else events
+    return _shaped(source, RAW_TEMPERATURE, _TEMPERATURE)
 
 
 def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,21 +107,24 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # A label text per customer: bare codes, padded and doubled quotes, a section that
-# ends on an entry and one that ends on a line of its own, comments between.
+# ends on an entry and one that ends on a line of its own, comments between. Ports P0 to P24
+# are where the arrivals land, and lie in the cities of the measurements.
 _LABEL_TEXT = r"""concat(
   '/* codes of ', c_name, ' */\r\nproc format;\r\n  value i94cntyl\r\n   ',
   c_custkey, ' =  ''', c_name, ' (', c_mktsegment, ')'' ;\r\n\r\n/* 1 = ''none'' */\r\n',
   '  value $i94prtl\r\n   ''N', c_nationkey, ' ''\t=\t''PORT ', c_custkey, ', XX     ''   \r\n',
-  '   ''C', c_custkey, '''\t=\t''INT''''L ', c_mktsegment, '''\r\n;\r\n',
+  '   ''C', c_custkey, '''\t=\t''INT''''L ', c_mktsegment, '''\r\n',
+  '   ''P', pmod(c_custkey, 25), '''\t=\t''CITY ', pmod(c_custkey, 25), ', XX''\r\n;\r\n',
   'value i94model\r\n\t1 = ''Air'' ;\r\nvalue i94addrl\r\n\t''S', c_custkey, '''=''', c_mktsegment, ''' '
 )"""
 
 
-def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def label_texts(
+    spark: SparkSession, sf_dir: str, customers: DataFrame | None = None, file: str = "cast(c_custkey as string)"
+) -> DataFrame:
     """(file, text): a small label text per customer, the last section unclosed."""
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("file"), F.expr(_LABEL_TEXT).alias("text")
-    )
+    source = table(spark, sf_dir, "customer") if customers is None else customers
+    return source.select(F.expr(file).alias("file"), F.expr(_LABEL_TEXT).alias("text"))
 
 
 def raw_frames(spark: SparkSession, sf_dir: str) -> RawFrames:
