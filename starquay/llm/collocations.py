@@ -37,8 +37,8 @@ _GAP[[ord(" "), ord("\t")]] = True
 
 NO_LANG = "und"
 _TAB = "\t"
-CHUNK_BYTES = 8 << 20
-BATCH_ROWS = 1 << 16
+CHUNK_BYTES = 3 << 20
+BATCH_ROWS = 1 << 15
 # Sampled documents that tell which beginnings are spread, and the share that makes one so.
 SAMPLE = 1000
 HOT_SHARE = 1 / 200
