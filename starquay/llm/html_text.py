@@ -3,7 +3,10 @@
 A page is read into a tree of elements. Paragraphs score by their length and commas, and
 pass points to their ancestors, halved at each step; a container's score is discounted
 by its link density. The best container is kept, with siblings that score like it or
-read like text. Elements that carry no article by their kind or name never count.
+read like text, and the headings and short paragraphs between and right beside them.
+Elements that carry no article by their kind or name never count. Names that only hint at
+that discount what a part scores, and drop nothing inside the container; nor does it
+lose its lists of links. A form goes with its fields, unless the page is inside it.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split()
 )
 NO_TEXT = frozenset(
-    "script style noscript template head title nav footer aside form button select option textarea input iframe "
+    "script style noscript template head title nav footer aside button select option textarea input iframe "
     "object embed canvas svg math audio video dialog menu noembed noframes xmp datalist".split()
 )
 # Start tags that end an open paragraph, and for items the kind they end.
@@ -36,13 +39,17 @@ ENDS_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 SCOPES = frozenset("table ul ol dl body html article section main div aside nav header footer".split())
 # Words of class, id and role that name a part that is no article, and that name one.
 UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"newsletter|subscri\w*|signup|login|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget|footer|foot|"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|"
+    r"newsletter|subscri\w*|signup|login|nav|navbar|navigation|menu|breadcrumbs?|sidebar|widget|footer|"
     r"masthead|topbar|toolbar|share|sharing|social|related|recommend\w*|more-stories|comments?|comment-list|disqus|replies|"
-    r"reply|responses|respond|pagination|pager|tags?|legal|copyright|disclaimer|search|form|outbrain|taboola|hidden|"
+    r"respond|pagination|pager|copyright|outbrain|taboola|hidden|"
     r"complementary|contentinfo|dialog)(?=$|[\s_-])",
     re.I,
 )
+# Words that only hint at it.
+DOUBTFUL = re.compile(
+    r"(?:^|[\s_-])(?:alert|side|foot|reply|responses|tags?|legal|disclaimer|search|form)(?=$|[\s_-])", re.I
+)
 HEADER = re.compile(r"(?:^|[\s_-])header(?=$|[\s_-])", re.I)
 # Names that tell what a container has, not what it is; and where a capital parts words.
 _HAVING = re.compile(r"(?:^|(?<=\s))(?:has|with|no)[_-][\w-]+", re.I)
@@ -56,10 +63,18 @@ _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""
 _SPACES = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 MIN_PARAGRAPH = 25
+DOUBT = 0.2
+# A form that a page is inside of: the share of the text, and the characters per field.
+FORM_SHARE = 0.5
+FORM_TEXT = 80
+FIELDS = frozenset("button select textarea input".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BETWEEN = HEADINGS | frozenset("p pre blockquote ul ol dl figure table".split())
+_SENTENCE = re.compile(r"[.!?\u2026\u3002\uff01\uff1f][\"'\u201d\u2019\u00bb)]*(?:\s|$)")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "items", "dropped", "named", "score", "length", "linked", "commas", "chars", "block", "inside")
+    __slots__ = ("tag", "parent", "items", "dropped", "named", "score", "length", "linked", "commas", "chars", "block", "inside", "doubtful")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str, by_name: bool = True):
         self.tag, self.parent = tag, parent
@@ -85,6 +100,7 @@ class Element:
         heads = tag == "header" or not plain and bool(name) and bool(HEADER.search(name))
         self.dropped = tag in NO_TEXT or hidden or unlikely or heads and not self.inside
         self.dropped |= tag == "article" and "comment" in name.lower()
+        self.doubtful = not plain and bool(name) and bool(DOUBTFUL.search(name))
 
 
 class _Open:
@@ -189,6 +205,36 @@ def _measure(root: Element) -> list[Element]:
     return order
 
 
+def _drop_forms(root: Element) -> None:
+    """Drop the forms but those that the page is inside of: one that holds an article or a
+    main, or most of the text with little of it per field."""
+    order, todo = [], [(root, None)]
+    while todo:
+        node, form = todo.pop()
+        if node.dropped and node.tag not in FIELDS:
+            continue
+        form = node if node.tag == "form" else form
+        order.append((node, form))
+        todo += [(c, form) for c in reversed(node.items) if isinstance(c, Element)]
+    if not any(node.tag == "form" for node, _ in order):
+        return
+    text = {id(node): sum(len(t.strip()) for t in node.items if isinstance(t, str)) for node, _ in order}
+    fields = {id(node): int(node.tag in FIELDS) for node, _ in order}
+    holds = {id(node): node.tag in ("article", "main") for node, _ in order}
+    for node, _ in reversed(order):
+        up = id(node.parent)
+        if up in text:
+            text[up] += 0 if node.dropped else text[id(node)]
+            fields[up] += fields[id(node)]
+            holds[up] |= holds[id(node)] and not node.dropped
+    total = text[id(root)]
+    for node, _ in order:
+        if node.tag == "form":
+            size = text[id(node)]
+            most = size > FORM_SHARE * total and size >= FORM_TEXT * fields[id(node)]
+            node.dropped |= not (holds[id(node)] or most)
+
+
 def _link_density(node: Element) -> float:
     return node.linked / node.length if node.length else 0.0
 
@@ -201,13 +247,14 @@ def best_parts(root: Element) -> list[Element]:
         if not (node.tag in ("p", "pre", "blockquote", "td", "li") or node.block and own) or not node.length:
             continue
         points = 1 + node.commas + min(node.chars / 100, 3) if node.length >= MIN_PARAGRAPH else 0.2
-        points *= 1 - _link_density(node)
+        points *= (1 - _link_density(node)) * (DOUBT if node.doubtful else 1)
         up, share = node.parent if node.tag != "div" or node.parent is None else node, 1.0
         while up is not None and share > 0.05:
             if not up.score:
                 candidates.append(up)
                 up.score += 5 if up.named else 0.01
             up.score += points * share
+            share *= DOUBT if up.doubtful else 1
             up, share = up.parent, share / 2
     if not candidates:
         return [root] if root.length else []
@@ -227,22 +274,69 @@ def best_parts(root: Element) -> list[Element]:
         return [best]
     sure = best.tag in ("article", "main")
     least = max(10.0, best.score * 0.2)
-    kept = []
-    for other in best.parent.items:
+    around, kept = best.parent.items, set()
+    for place, other in enumerate(around):
         if not isinstance(other, Element) or other.dropped:
             continue
         # What stands beside a sure article is part of it only if it is one as well.
         reads = not sure and other.tag == "p" and other.length > 80 and _link_density(other) < 0.25
         scores = other.score >= least and _link_density(other) < 0.5 and (not sure or other.tag == best.tag)
-        if other is best or scores or reads:
-            kept.append(other)
-    return kept
+        if other is best or not other.doubtful and (scores or reads):
+            kept.add(place)
+    if not sure:
+        kept |= _beside(around, kept)
+    return [around[place] for place in sorted(kept)]
+
+
+def _beside(around: list[Element | str], kept: set[int]) -> set[int]:
+    """Places of what belongs to the kept ones: text, headings, paragraphs and lists between
+    them, the headings right before, and the sentences right before and after them."""
+
+    def reads(item: Element | str, heading: bool) -> bool:
+        if isinstance(item, str):
+            return not item.strip()
+        if item.dropped or item.doubtful:
+            return False
+        if item.tag in HEADINGS:
+            return heading
+        return item.tag == "p" and not item.linked and bool(_SENTENCE.search(_plain(item)))
+
+    first, last = min(kept), max(kept)
+    found = set()
+    for place in range(first, last):
+        item = around[place]
+        plain = isinstance(item, str)
+        if plain or item.tag in BETWEEN and not item.dropped and not item.doubtful and _link_density(item) < 0.5:
+            found.add(place)
+    for place in range(first - 1, -1, -1):
+        if not reads(around[place], True):
+            break
+        found.add(place)
+    for place in range(last + 1, len(around)):
+        if not reads(around[place], False):
+            break
+        found.add(place)
+    return found
+
+
+def _plain(node: Element) -> str:
+    """The text of a small part."""
+    found, todo = [], [node]
+    while todo:
+        item = todo.pop()
+        if isinstance(item, str):
+            found.append(item)
+        elif not item.dropped:
+            todo += reversed(item.items)
+    return html.unescape("".join(found)).strip()
 
 
 def _blocks(parts: list[Element]) -> list[str]:
     """One text per block: a break or the border of a block element ends one."""
     lines: list[str] = []
     held: list[str] = []
+    # Without a container the whole page is read, menus and all.
+    whole = any(isinstance(part, Element) and part.tag in ("html", "body") for part in parts)
 
     def flush() -> None:
         line = _SPACES.sub(" ", html.unescape("".join(held))).strip()
@@ -259,7 +353,7 @@ def _blocks(parts: list[Element]) -> list[str]:
             held.append(item)
         elif item.tag == "br":
             held.append("\n")
-        elif not item.dropped and not _is_notice(item):
+        elif not item.dropped and not (whole and _is_notice(item)):
             if item.block:
                 flush()
                 todo.append(None)
@@ -276,9 +370,13 @@ def _is_notice(node: Element) -> bool:
 def main_text(page: str | None) -> str:
     if not page or not page.strip():
         return ""
-    lines = _blocks(best_parts(parse(page)))
-    # A page whose whole text is in parts with such names is read without them.
-    return "\n".join(lines or _blocks(best_parts(parse(page, by_name=False))))
+    for by_name in (True, False):  # a page whose whole text is in parts with such names
+        root = parse(page, by_name)
+        _drop_forms(root)
+        lines = _blocks(best_parts(root))
+        if lines:
+            break
+    return "\n".join(lines)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -91,3 +91,29 @@ def test_depth_costs_no_more_than_length():
     main_text("".join(f"<div>{BODY}</x><span>" for _ in range(20_000)))
     main_text("<font>" * 20_000 + f"<p>{BODY}</q></b>" * 20_000)
     assert time.process_time() - began < 30
+
+
+def test_a_page_inside_a_form():
+    login = "<p>Your name and your word, please, to go on here.</p><input><input><button>Go</button>"
+    body = f'<form id=aspnetForm><input type=hidden><div class=menu><a href=1>x</a></div><div><h1>Title</h1><p>{BODY}</p><p>{BODY}</p></div></form>'
+    assert main_text(page(body)) == f"Title\n{BODY}\n{BODY}"
+    assert main_text(page(f"<form><main><p>Short text.</p>{login}</main></form>")).startswith("Short text.")
+    assert main_text(page(f"<div><p>{BODY}</p><p>{BODY}</p><form>{login}</form></div>")) == f"{BODY}\n{BODY}"
+    assert main_text(page(f"<form>{login}</form>")) == ""
+
+
+def test_named_parts_and_lists_of_links_inside_the_container():
+    links = "<ul><li><a href=1>First source</a></li><li><a href=2>Second source</a></li></ul>"
+    body = f'<div><div class=content><p>{BODY}</p>{links}<p class=tag>{BODY} tagged</p><p>{BODY}</p></div></div>'
+    expected = f"{BODY}\nFirst source\nSecond source\n{BODY} tagged\n{BODY}"
+    assert main_text(page(body)) == expected
+    article = f'<article><p>{BODY}</p><div class=legal><p>{BODY} law</p></div><section class="side">{BODY} by</section></article>'
+    assert main_text(page(article)) == f"{BODY}\n{BODY} law\n{BODY} by"
+    # Outside the container such names still count against a part.
+    assert main_text(page(f"<div><div><p>{BODY}</p><p>{BODY}</p></div><div class=legal><p>{BODY}</p></div></div>")) == f"{BODY}\n{BODY}"
+
+
+def test_headings_and_short_paragraphs_beside_the_container():
+    text = f"<div><p>{BODY}</p><p>{BODY}</p></div>"
+    body = f'<div id=x><a href=1>Home</a><h2>Part one</h2>{text}<h2>Part two</h2><p>Short.</p><ul><li>one</li></ul><p>{BODY} last</p><p>The end.</p><p>Imprint</p></div>'
+    assert main_text(page(body)) == "\n".join(["Part one", BODY, BODY, "Part two", "Short.", "one", f"{BODY} last", "The end."])
