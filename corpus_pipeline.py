@@ -14,7 +14,8 @@ from starquay.llm.jaccard_join import one_per_component
 from starquay.llm.line_quality import score_quality
 from starquay.llm.pfair_mix import mix_sources
 from starquay.llm.secret_scan import mask_secrets
-from starquay.staging import stage
+from starquay.files import delete
+from starquay.staging import new_path, released
 
 # Near copies: five-word shingles, Jaccard similarity of at least 0.8.
 SHINGLE_WORDS = 5
@@ -64,8 +65,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another; what each returns is written as Parquet and read again."""
-    docs = _table(spark, sf_dir, "documents")
+    """The stages one after another; what each returns is written as Parquet and read again.
+
+    Each stage works on the rows that its predecessor kept, with nulls, repeated rows and extra
+    columns as they are; without documents all stages return none. What a stage staged,
+    and the documents it read, are removed once its own are written, so at most two copies
+    of the documents are held. The last one stays until ``staging.discard``.
+    """
+    docs, before = _table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline_{name}")
+        path = new_path(spark, f"pipeline_{name}")
+        with released(spark):
+            kept = step(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before is not None:
+            delete(spark, before)
+        before = path
     return docs
