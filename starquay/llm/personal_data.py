@@ -44,6 +44,7 @@ LIKE_CARD = range(12, 20)
 CONTEXT_WORDS = 3
 MIN_SUPPORT = 3
 MIN_CONFIDENCE = 0.5
+HELD_PATTERNS = 1 << 19
 
 _U = np.uint64
 _WORD_BYTE = np.ones(256, bool)
@@ -241,13 +242,25 @@ def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, total): how often each pattern occurs in all texts, whatever follows."""
     table = bloom(patterns)
 
+    def told(pattern: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pattern), pa.array(n)], ["pattern", "total"])
+
     def count(batches):
+        """Adds up over a task, and gives what it has when that is much."""
+        pattern, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for first, last in chunks(batch.column(0)):
                 contexts = _Contexts(batch.column(0).slice(first, last - first))
                 held = contexts.hash[contexts.valid].view(np.int64)
-                pattern, n = np.unique(held[maybe_in(table, held)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pattern), pa.array(n)], ["pattern", "total"])
+                held = held[maybe_in(table, held)]
+                pattern, spot = np.unique(np.concatenate([pattern, held]), return_inverse=True)
+                ones = np.concatenate([n, np.ones(len(held), np.int64)])
+                n = np.zeros(len(pattern), np.int64)
+                np.add.at(n, spot, ones)
+                if len(pattern) > HELD_PATTERNS:
+                    yield told(pattern, n)
+                    pattern, n = pattern[:0], n[:0]
+        yield told(pattern, n)
 
     counted = docs.select("text").mapInArrow(count, "pattern bigint, total bigint")
     # Added up before the join, which then meets each pattern once and not once per chunk. A
