@@ -174,3 +174,17 @@ def test_stored_tables_finds_what_is_there(spark, tmp_path):
         f"{tmp_path}/country_code"
     )
     assert list(readers.stored_tables(spark, str(tmp_path))) == ["country_code"]
+
+
+def test_new_whole_rows_are_shuffled_once_for_both_joins(spark):
+    rows = [(1, None), (1, None), (2, "b"), (3, "c"), (None, None)]
+    incoming = spark.createDataFrame(rows, "k bigint, v string")
+    stored = spark.createDataFrame([("b", 9, 2), ("x", 8, 3), (None, 7, None)], "v string, id int, k bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        fresh = sinks.new_whole_rows(stored, incoming)
+        assert sorted(map(str, fresh.collect())) == sorted(["Row(k=1, v=None)", "Row(k=3, v='c')"])
+        plan = fresh._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert (plan.count("+- Exchange ") + plan.count(":- Exchange "), plan.count("ReusedExchange ")) == (2, 1), plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
