@@ -1,10 +1,10 @@
 """Secret scan: fixed patterns, and a character convolutional network over candidates.
 
 Candidates are all runs of token characters long enough for a pattern, and the matches that
-fail a length. The network reads a candidate, a long one in overlapping windows, with 24
-bytes on either side, and six numbers on it; a logistic layer on the numbers alone, whose
-threshold no calibration finding fails, spares the convolutions what is plainly no key. It
-is trained on labelled findings; without any, on those that the patterns make: values that
+fail a length. The network reads every candidate, a long one in overlapping windows, with 24
+bytes on either side, and six numbers on it. Windows overlap and their layer is local, so the
+convolutions are those of the text, taken once per byte, and a window adds what is other at
+its borders. It is trained on labelled findings; without any, on those that the patterns make: values that
 match are findings, once with their keyword blanked out and once in the surroundings of
 another candidate, so that a key is known without a keyword. Runs that are words or
 numbers, or that recur in several surroundings, are no findings. All others, above all bare
@@ -40,8 +40,6 @@ CONTEXT = 24
 BODY = 48
 STRIDE = 24  # of the windows over a longer candidate
 MIN_CANDIDATE = 6
-# Characters that a candidate must have outside the base findings to be asked about.
-MIN_BEYOND = 6
 TRAINING_CANDIDATES = 6000
 # Runs without a label that a chunk of texts offers to the training.
 OFFERED = 256
@@ -73,7 +71,8 @@ _NUMBERS = 6
 class Network:
     """``embed`` (classes, e); ``conv`` (5 * e, filters); ``out`` over the maxima of the body
     and of both contexts, the numbers and a constant. ``pairs``: how surprising one class of
-    bytes is after another in words and numbers. ``gate``: weights of the numbers alone."""
+    bytes is after another in words and numbers. ``gate``, ``least``: weights of the numbers
+    alone, and what findings have by them at least; they tell nothing apart in a scan."""
 
     embed: np.ndarray
     conv: np.ndarray
@@ -172,6 +171,95 @@ def probability(net: Network, classes: np.ndarray, numbers: np.ndarray) -> np.nd
     return 1 / (1 + np.exp(-np.clip(net.slope * out + net.shift, -50, 50)))
 
 
+# Bytes of text that are convolved at once, and what a window needs beyond its body.
+BLOCK = 1 << 14
+_BESIDE = CONTEXT + _KERNEL // 2
+
+
+def _tops(act: np.ndarray, wide: dict[int, np.ndarray], first: np.ndarray, size: int | np.ndarray) -> np.ndarray:
+    """Maxima of the rows [first, first + size) of ``act``; ``wide`` holds those of all ranges
+    of 1, 2, 4 .. rows."""
+    size = np.broadcast_to(size, first.shape)
+    out = np.empty((len(first), act.shape[1]), act.dtype)
+    power = np.int64(1) << np.int64(np.log2(size))
+    for p, top in wide.items():
+        at = np.flatnonzero(power == p)
+        out[at] = np.maximum(top[first[at]], top[first[at] + size[at] - p])
+    return out
+
+
+def logits(net: Network, found: Found, row: np.ndarray, low: np.ndarray, high: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """What ``_forward`` gives for the windows [low, high) of texts, at least ``_KERNEL`` bytes
+    each, times ``net.out``.
+
+    A window's classes are those of the text up to its borders, and nothing beyond them and
+    between a short body and what follows it. Away from these its convolutions are those of the
+    text. Near them a place lacks one or two of its neighbours, on either side.
+    """
+    out = np.empty(len(row))
+    body = high - low
+    # Less room than a kernel between the body and what follows: as they stand.
+    odd = np.flatnonzero((body > BODY - _KERNEL + 1) & (body < BODY))
+    for i in range(0, len(odd), 512):
+        part = odd[i : i + 512]
+        classes = _inputs(found.data, found.offsets[row[part]], found.offsets[row[part] + 1], low[part], high[part])
+        out[part] = _forward(net, classes, numbers[part])[0] @ net.out
+    # All texts with nothing between them, so their ends need no care.
+    sizes = np.diff(found.offsets)
+    classes = np.zeros(len(found.data) + (len(sizes) + 1) * _BESIDE, np.uint8)
+    classes[np.arange(len(found.data)) + np.repeat(np.arange(1, len(sizes) + 1) * _BESIDE, sizes)] = _CLASS[found.data]
+    filters = len(net.bias)
+    table = (net.embed @ net.conv.reshape(_KERNEL, -1, filters)).astype(np.float32)
+    bias = net.bias.astype(np.float32)
+    rest = np.concatenate([numbers, np.ones((len(numbers), 1))], axis=1) @ net.out[3 * filters :]
+    weight = net.out[: 3 * filters].astype(np.float32)
+    start = low + (row + 1) * _BESIDE
+    whole = np.flatnonzero((body <= BODY - _KERNEL + 1) | (body == BODY))
+    whole = whole[np.argsort(start[whole], kind="stable")]
+    cuts = np.searchsorted(start[whole], np.arange(0, len(classes) + BLOCK, BLOCK))
+    for n in np.flatnonzero(np.diff(cuts)):
+        at = whole[cuts[n] : cuts[n + 1]]
+        begin = n * BLOCK - _BESIDE
+        shown = np.zeros(BLOCK + 2 * _BESIDE + BODY, np.uint8)
+        there = classes[max(begin, 0) : begin + len(shown)]
+        shown[max(-begin, 0) : max(-begin, 0) + len(there)] = there
+        a, b, c, d, e = (t[shown] for t in table)  # the byte two before, one before, and so on
+
+        def moved(part: np.ndarray, by: int) -> np.ndarray:
+            """``part`` of the place ``by`` further."""
+            other = np.zeros_like(part)
+            other[max(-by, 0) : len(part) - max(by, 0)] = part[max(by, 0) : len(part) + min(by, 0)]
+            return other
+
+        two_before, before = moved(a, -2), moved(b, -1)
+        after, two_after = moved(d, 1), moved(e, 2)
+        first = bias + c + after + two_after  # nothing before
+        second = first + before
+        last = bias + c + before + two_before  # nothing after
+        last_but_one = last + after
+        act = second + two_before
+        wide = {1: act}
+        for p in (1, 2, 4, 8, 16):
+            wide[2 * p] = np.maximum(wide[p][:-p], wide[p][p:])
+        s, size = start[at] - begin, body[at]
+        end = s + size
+        left = np.maximum(_tops(act, wide, s - CONTEXT + 2, CONTEXT - 2), np.maximum(first[s - CONTEXT], second[s - CONTEXT + 1]))
+        short = np.flatnonzero(size < BODY)
+        inner = _tops(act, wide, s, np.where(size < BODY, size - 2, size))
+        right = _tops(act, wide, np.where(size < BODY, end + 2, end), np.where(size < BODY, CONTEXT - 4, CONTEXT - 2))
+        right = np.maximum(right, np.maximum(last_but_one[end + CONTEXT - 2], last[end + CONTEXT - 1]))
+        f = end[short]
+        right[short] = np.maximum(right[short], np.maximum(first[f], second[f + 1]))
+        # The end of a short body, and the room behind it, which sees two bytes on either side.
+        room = [last_but_one[f - 2], last[f - 1], bias + a[f - 2] + b[f - 1], bias + a[f - 1], bias + e[f], bias + d[f] + e[f + 1]]
+        for part in room:
+            inner[short] = np.maximum(inner[short], part)
+        empty = short[size[short] <= BODY - _KERNEL]
+        inner[empty] = np.maximum(inner[empty], bias)
+        out[at] = np.maximum(np.concatenate([left, inner, right], axis=1), 0) @ weight + rest[at]
+    return out
+
+
 def _surprise(classes: np.ndarray) -> np.ndarray:
     """How surprising each class is after another inside the bodies of ``classes``, in nats,
     with one unseen count for each."""
@@ -509,19 +597,13 @@ def scan(texts: pa.Array, net: Network) -> tuple[list[list[tuple[int, int, int]]
     first = lead[found.offsets]
     base = [[(int(lead[a] - first[k]), kind, int(lead[b] - first[k])) for a, kind, b in s] for k, s in enumerate(found.base)]
     spans = [list(s) for s in base]
-    asked = np.flatnonzero(found.outside >= np.minimum(MIN_BEYOND, found.end - found.start))
-    if len(asked) and np.isfinite(net.least):
+    asked = np.flatnonzero(found.outside > 0)
+    if len(asked) and net.threshold <= 1:
         row, start, end = found.row[asked], found.start[asked], found.end[asked]
         of, low, high = _windows(start, end)
-        numbers = _Sums(found.data, net.pairs).numbers(low, high)
-        open_ = np.flatnonzero(_gate(net, numbers) >= net.least)
-        of, low, high, numbers = of[open_], low[open_], high[open_], numbers[open_]
+        odds = net.slope * logits(net, found, row[of], low, high, _Sums(found.data, net.pairs).numbers(low, high)) + net.shift
         hit = np.zeros(len(asked), bool)
-        for i in range(0, len(of), 4096):
-            part = slice(i, i + 4096)
-            texts_of = found.offsets[row[of[part]]], found.offsets[row[of[part]] + 1]
-            classes = _inputs(found.data, *texts_of, low[part], high[part])
-            hit[of[part][probability(net, classes, numbers[part]) >= net.threshold]] = True
+        hit[of[1 / (1 + np.exp(-np.clip(odds, -50, 50))) >= net.threshold]] = True
         for k, a, b in sorted(set(zip(row[hit].tolist(), start[hit].tolist(), end[hit].tolist()))):
             spans[k].append((int(lead[a] - first[k]), 3, int(lead[b] - first[k])))
     return base, [sorted(s) for s in spans]
