@@ -9,9 +9,10 @@ shorter phrases, of single words and of all words at once, without a further exp
 Tasks count the windows of a few megabytes of text by themselves and give them in order,
 which is what makes the one large exchange small. It is by ranges of everything but the
 last word, so the counts of windows and of their longest prefixes are complete inside a
-task; prefixes too rare to be candidates are padded there, and the ROLLUP moves little more
-than words. Beginnings that hold a large share of a sample are spread over ranges by the
-last word as well; the sample decides where rows go, and no count.
+task, which adds them up in one reading. There, windows and prefixes too rare to be candidates
+lose their last word to padding, and the ROLLUP moves little more than words. Beginnings that
+hold a large share of a sample are spread over ranges by the last word as well; the sample
+decides where rows go, and no count.
 """
 
 from __future__ import annotations
@@ -44,8 +45,10 @@ SAMPLE = 1000
 HOT_SHARE = 1 / 200
 SPREAD = 64
 # Bytes of text files behind one range, and the number of ranges from which on it grows.
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 1 << 20
 RANGES = 10_000
+# Windows a task holds at a time; a range of more is added up in parts, none of them padded.
+HELD_ROWS = 1 << 21
 
 
 def _ranges(size: int) -> int:
@@ -109,6 +112,8 @@ def lead_windows(docs: DataFrame, longest: int) -> DataFrame:
                 part = _counted(langs.slice(first, last - first), texts.slice(first, last - first), longest)
                 for i in range(0, part.num_rows if part else 0, BATCH_ROWS):
                     yield part.slice(i, BATCH_ROWS)
+        batch = langs = texts = part = None
+        pa.default_memory_pool().release_unused()
 
     return docs.select("lang", "text").mapInArrow(count, "head string, last string, n bigint")
 
@@ -131,11 +136,58 @@ def _hot_heads(docs: DataFrame, longest: int) -> list[str]:
     return [row.head for row in seen.withColumn("share", share).where(F.col("share") >= HOT_SHARE).collect()]
 
 
+def _added_up(batches: list[pa.RecordBatch]) -> pa.Table:
+    """The distinct windows of a few batches with their sums."""
+    found = pa.Table.from_batches(batches).group_by(["head", "last"], use_threads=False).aggregate([("n", "sum")])
+    return found.select(["head", "last", "n_sum"]).rename_columns(["head", "last", "n"])
+
+
+def _padded(windows: pa.Table, longest: int, min_count: int, hot: list[str]) -> list[pa.Table]:
+    """The same windows, the last word of those too rare replaced by padding, and then of heads
+    too rare, unless ``hot``, whose windows are in several ranges. Sums of all prefixes that
+    are frequent, or not complete in a range, stay as they were."""
+    often = pc.greater_equal(windows["n"], min_count)
+    frequent = windows.filter(often)
+    heads = windows.filter(pc.invert(often)).group_by("head", use_threads=False).aggregate([("n", "sum")])
+    head, n = heads["head"], heads["n_sum"]
+    rare = pc.and_not(pc.less(n, min_count), pc.is_in(head, pa.array(hot, pa.string())))
+    rare = pc.and_not(rare, pc.is_in(head, pc.unique(frequent["head"])))
+    if longest > 1:  # a head of a language alone has no word to lose
+        head = pc.if_else(rare, pc.replace_substring_regex(head, "[^\t]*$", ""), head)
+    rest = pa.table({"head": head, "last": pa.nulls(len(heads), pa.string()), "n": n})
+    return [frequent, _added_up(rest.to_batches())] if len(rest) else [frequent]
+
+
+def _reduced(longest: int, min_count: int, hot: list[str]):
+    def reduce_range(batches):
+        held, rows, whole = [], 0, True
+        for batch in batches:
+            if held and rows + batch.num_rows > HELD_ROWS:
+                windows = _added_up(held)
+                held, rows = windows.to_batches(), len(windows)
+                if rows > HELD_ROWS // 2:
+                    # What is rare in a part of a range need not be so in all of it.
+                    yield from windows.to_batches(max_chunksize=BATCH_ROWS)
+                    held, rows, whole = [], 0, False
+            held.append(batch)
+            rows += batch.num_rows
+        if held:
+            windows = _added_up(held)
+            held, batch = [], None
+            for part in _padded(windows, longest, min_count, hot) if whole else [windows]:
+                yield from part.to_batches(max_chunksize=BATCH_ROWS)
+        # Workers are kept for other tasks, and Arrow's memory with them.
+        windows = part = None
+        pa.default_memory_pool().release_unused()
+
+    return reduce_range
+
+
 def phrase_counts(docs: DataFrame, longest: int = 3, min_count: int = 10) -> DataFrame:
     """(lang, size, phrase, n): how often each phrase of up to ``longest`` words occurs, if
     at least ``min_count`` times; size 0 and a NULL phrase for the number of words of a
     language. A table in the shared folder."""
-    lead = ["lang", *(f"w{i}" for i in range(1, longest))]
+    lead = ["lang", *(f"w{i}" for i in range(1, longest)), "last"]
     windows = lead_windows(docs, longest)
     keys = ["head"]
     hot = _hot_heads(docs, longest)
@@ -144,35 +196,26 @@ def phrase_counts(docs: DataFrame, longest: int = 3, min_count: int = 10) -> Dat
         keys.append("spread")
     windows = (
         windows.repartitionByRange(_ranges(listed_bytes([docs.select("text")])), *keys)
-        .groupBy(*keys, "last")
-        .agg(F.sum("n").alias("n"))
+        .select("head", "last", "n")
+        .mapInArrow(_reduced(longest, min_count, hot), "head string, last string, n bigint")
+    )
+    levels = (
+        windows.select(*_apart(F.col("head"), longest), "last", "n")
+        .rollup(*lead)
+        .agg(F.grouping_id().alias("left_out"), F.sum("n").alias("n"))
     )
-    heads = windows.groupBy(*keys).agg(F.sum("n").alias("n"))
-    # A head in one place that is too rare counts for its own beginnings only.
-    rare = F.col("n") < min_count
-    if hot:
-        rare = F.col("spread").isNull() & rare
-    padded = heads.select(*_apart(F.col("head"), longest), "n", rare.alias("rare"))
-    if longest > 1:
-        padded = padded.withColumn(lead[-1], F.when(~F.col("rare"), F.col(lead[-1])))
-    levels = padded.rollup(*lead).agg(F.grouping_id().alias("left_out"), F.sum("n").alias("n"))
     # grouping_id has one bit per column that is left out.
-    size = F.lit(longest - 1) - F.bit_count("left_out")
-    shorter = levels.select("lang", size.alias("size"), *lead[1:], "n")
+    size = F.lit(longest) - F.bit_count("left_out")
+    counts = levels.select("lang", size.alias("size"), *lead[1:], "n")
     # The row of a prefix whose last word is padding stands for no phrase of that size.
     complete = reduce(
-        Column.__or__, [(F.col("size") == i) & F.col(f"w{i}").isNotNull() for i in range(1, longest)], F.lit(False)
+        Column.__or__, [(F.col("size") == i) & F.col(lead[i]).isNotNull() for i in range(1, longest + 1)]
     )
     phrase = F.concat_ws(" ", *lead[1:])
-    counted = shorter.where((F.col("size") == 0) | (complete & (F.col("n") >= min_count))).select(
+    counted = counts.where((F.col("size") == 0) | (complete & (F.col("n") >= min_count))).select(
         "lang", "size", F.when(F.col("size") > 0, phrase).alias("phrase"), "n"
     )
-    # A filter on the last word alone would move below the exchange, which then serves one branch.
-    frequent = windows.where(F.when(F.col("n") >= min_count, F.col("last")).isNotNull())
-    full = frequent.select(*_apart(F.col("head"), longest), "last", "n").select(
-        "lang", F.lit(longest).alias("size"), F.concat_ws(" ", *lead[1:], "last").alias("phrase"), "n"
-    )
-    return stage(counted.union(full), "phrase_counts")
+    return stage(counted, "phrase_counts")
 
 
 def _part(words: Column, first: Column, size: Column) -> Column:

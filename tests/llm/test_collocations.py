@@ -133,3 +133,25 @@ def test_one_exchange_of_windows(spark):
     windows = module.lead_windows(docs, 3).repartitionByRange(4, "head").groupBy("head", "last").sum("n")
     plan = windows.groupBy("head").count()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
+
+
+@pytest.mark.parametrize("held", [1, 50, 1 << 22])
+def test_ranges_added_up_in_parts(spark, monkeypatch, held):
+    """A range of more windows than a task holds is added up in parts, and nothing rare in a part is lost."""
+    texts, langs = corpus(4)
+    docs = documents(spark, texts, langs).repartition(6)
+    monkeypatch.setattr(module, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(module, "HELD_ROWS", held)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        assert rows_of(collocations(docs, 3, 3)) == brute_force(list(zip(texts, langs)), 3, 3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_windows_are_read_once(spark, monkeypatch):
+    """One reader of the large exchange gives the counts of all sizes."""
+    plans = []
+    monkeypatch.setattr(module, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    module.phrase_counts(documents(spark, ["a b c"] * 12), 3)
+    assert plans[0].count("REPARTITION_BY_NUM") == 1
