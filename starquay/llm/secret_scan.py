@@ -172,19 +172,21 @@ def probability(net: Network, classes: np.ndarray, numbers: np.ndarray) -> np.nd
 
 
 # Bytes of text that are convolved at once, and what a window needs beyond its body.
-BLOCK = 1 << 14
+BLOCK = 1 << 13
 _BESIDE = CONTEXT + _KERNEL // 2
 
 
-def _tops(act: np.ndarray, wide: dict[int, np.ndarray], first: np.ndarray, size: int | np.ndarray) -> np.ndarray:
-    """Maxima of the rows [first, first + size) of ``act``; ``wide`` holds those of all ranges
-    of 1, 2, 4 .. rows."""
-    size = np.broadcast_to(size, first.shape)
-    out = np.empty((len(first), act.shape[1]), act.dtype)
-    power = np.int64(1) << np.int64(np.log2(size))
-    for p, top in wide.items():
+def _tops(wide: dict[int, np.ndarray], first: np.ndarray, size: int | np.ndarray) -> np.ndarray:
+    """Maxima of the rows [first, first + size); ``wide`` holds those of all ranges of 1, 2, 4 ..
+    rows."""
+    if isinstance(size, int):
+        power = 1 << (size.bit_length() - 1)
+        return np.maximum(wide[power].take(first, 0), wide[power].take(first + size - power, 0))
+    out = np.empty((len(first), wide[1].shape[1]), wide[1].dtype)
+    power = np.frexp(size)[1] - 1
+    for p in np.flatnonzero(np.bincount(power)).tolist():
         at = np.flatnonzero(power == p)
-        out[at] = np.maximum(top[first[at]], top[first[at] + size[at] - p])
+        out[at] = np.maximum(wide[1 << p].take(first[at], 0), wide[1 << p].take(first[at] + size[at] - (1 << p), 0))
     return out
 
 
@@ -211,49 +213,69 @@ def logits(net: Network, found: Found, row: np.ndarray, low: np.ndarray, high: n
     filters = len(net.bias)
     table = (net.embed @ net.conv.reshape(_KERNEL, -1, filters)).astype(np.float32)
     bias = net.bias.astype(np.float32)
+    # By the byte two before, one before, and so on.
+    a, b, c, d, e = table[0], table[1], bias + table[2], table[3], table[4]
     rest = np.concatenate([numbers, np.ones((len(numbers), 1))], axis=1) @ net.out[3 * filters :]
     weight = net.out[: 3 * filters].astype(np.float32)
     start = low + (row + 1) * _BESIDE
     whole = np.flatnonzero((body <= BODY - _KERNEL + 1) | (body == BODY))
     whole = whole[np.argsort(start[whole], kind="stable")]
     cuts = np.searchsorted(start[whole], np.arange(0, len(classes) + BLOCK, BLOCK))
+    length = BLOCK + 2 * _BESIDE + BODY
+    shown = np.empty(length, np.intp)
+    part = np.empty((length - _KERNEL + 1, filters), np.float32)
+    wide = {p: np.zeros((length - p + 1, filters), np.float32) for p in (1, 2, 4, 8, 16, 32)}
+    act = wide[1]  # its ends, which lack neighbours, are in no window
+
+    def summed(*parts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        (of, to), *more = parts
+        total = of.take(to, 0)
+        for of, to in more:
+            total += of.take(to, 0)
+        return total
+
     for n in np.flatnonzero(np.diff(cuts)):
         at = whole[cuts[n] : cuts[n + 1]]
         begin = n * BLOCK - _BESIDE
-        shown = np.zeros(BLOCK + 2 * _BESIDE + BODY, np.uint8)
-        there = classes[max(begin, 0) : begin + len(shown)]
+        there = classes[max(begin, 0) : begin + length]
+        shown[:] = 0
         shown[max(-begin, 0) : max(-begin, 0) + len(there)] = there
-        a, b, c, d, e = (t[shown] for t in table)  # the byte two before, one before, and so on
-
-        def moved(part: np.ndarray, by: int) -> np.ndarray:
-            """``part`` of the place ``by`` further."""
-            other = np.zeros_like(part)
-            other[max(-by, 0) : len(part) - max(by, 0)] = part[max(by, 0) : len(part) + min(by, 0)]
-            return other
-
-        two_before, before = moved(a, -2), moved(b, -1)
-        after, two_after = moved(d, 1), moved(e, 2)
-        first = bias + c + after + two_after  # nothing before
-        second = first + before
-        last = bias + c + before + two_before  # nothing after
-        last_but_one = last + after
-        act = second + two_before
-        wide = {1: act}
+        inside = act[2:-2]
+        np.take(c, shown[2:-2], 0, inside, "clip")
+        for of, to in ((d, shown[3:-1]), (e, shown[4:]), (b, shown[1:-3]), (a, shown[:-4])):
+            np.take(of, to, 0, part, "clip")
+            inside += part
         for p in (1, 2, 4, 8, 16):
-            wide[2 * p] = np.maximum(wide[p][:-p], wide[p][p:])
+            np.maximum(wide[p][:-p], wide[p][p:], wide[2 * p])
+
+        def opening(i: np.ndarray) -> np.ndarray:
+            """The better of a place with nothing before it and of the next."""
+            one, two, three, four = (shown[i + k] for k in range(4))
+            here = summed((c, one), (d, two), (e, three))
+            return np.maximum(here, summed((c, two), (d, three), (e, four), (b, one)), out=here)
+
+        def closing(i: np.ndarray) -> np.ndarray:
+            """The better of a place with nothing after it and of the one before."""
+            one, two, three, four = (shown[i - k] for k in range(4))
+            here = summed((c, one), (b, two), (a, three))
+            return np.maximum(here, summed((c, two), (b, three), (a, four), (d, one)), out=here)
+
         s, size = start[at] - begin, body[at]
         end = s + size
-        left = np.maximum(_tops(act, wide, s - CONTEXT + 2, CONTEXT - 2), np.maximum(first[s - CONTEXT], second[s - CONTEXT + 1]))
+        left = np.maximum(_tops(wide, s - CONTEXT + 2, CONTEXT - 2), opening(s - CONTEXT))
         short = np.flatnonzero(size < BODY)
-        inner = _tops(act, wide, s, np.where(size < BODY, size - 2, size))
-        right = _tops(act, wide, np.where(size < BODY, end + 2, end), np.where(size < BODY, CONTEXT - 4, CONTEXT - 2))
-        right = np.maximum(right, np.maximum(last_but_one[end + CONTEXT - 2], last[end + CONTEXT - 1]))
+        inner = _tops(wide, s, np.where(size < BODY, size - 2, size))
+        # After a short body its first two places have nothing before them.
+        right = _tops(wide, np.where(size < BODY, end + 2, end), CONTEXT - 4)
+        right = np.maximum(right, closing(end + CONTEXT - 1))
+        long = np.flatnonzero(size == BODY)
+        right[long] = np.maximum(right[long], _tops(wide, end[long] + CONTEXT - 4, 2))
         f = end[short]
-        right[short] = np.maximum(right[short], np.maximum(first[f], second[f + 1]))
+        right[short] = np.maximum(right[short], opening(f))
         # The end of a short body, and the room behind it, which sees two bytes on either side.
-        room = [last_but_one[f - 2], last[f - 1], bias + a[f - 2] + b[f - 1], bias + a[f - 1], bias + e[f], bias + d[f] + e[f + 1]]
-        for part in room:
-            inner[short] = np.maximum(inner[short], part)
+        one, two, after, second = shown[f - 1], shown[f - 2], shown[f], shown[f + 1]
+        for room in (closing(f - 1), bias + a[two] + b[one], bias + a[one], bias + e[after], bias + d[after] + e[second]):
+            inner[short] = np.maximum(inner[short], room)
         empty = short[size[short] <= BODY - _KERNEL]
         inner[empty] = np.maximum(inner[empty], bias)
         out[at] = np.maximum(np.concatenate([left, inner, right], axis=1), 0) @ weight + rest[at]

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -197,3 +198,27 @@ def test_no_candidate_is_left_out_for_its_numbers_or_for_what_patterns_found():
     text = "plain words only my_token=abcdef12 token=abcdef34"
     _, spans = secret_scan.scan(pa.array([text]), net)
     assert [text[a:b] for a, kind, b in spans[0] if kind == 3] == ["my_token=abcdef12"]
+
+
+def test_maxima_of_ranges_against_all_rows():
+    rng = np.random.default_rng(4)
+    rows = rng.random((200, 3)).astype(np.float32)
+    wide = {1: rows}
+    for p in (1, 2, 4, 8, 16):
+        wide[2 * p] = np.maximum(wide[p][:-p], wide[p][p:])
+    first = rng.integers(0, 150, 400)
+    for size in (2, 20, 22, rng.integers(1, 49, 400)):
+        sizes = np.broadcast_to(size, first.shape)
+        want = [rows[a : a + n].max(axis=0) for a, n in zip(first, sizes)]
+        assert (secret_scan._tops(wide, first, size) == want).all()
+
+
+def test_a_block_is_convolved_once_and_in_place():
+    """What stands at the borders of windows is summed there only, not over the whole text."""
+    net, found = trained(), secret_scan.find(pa.array(["abcdef " * (secret_scan.BLOCK // 7)]))
+    some = found.row[:5], found.start[:5], found.end[:5]
+    tracemalloc.start()
+    secret_scan.logits(net, found, *some, np.zeros((5, 6)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * secret_scan.BLOCK * len(net.bias) * 4
