@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starquay.llm.filters import bloom, maybe_in
-from starquay.llm.words import FOLD, chunks, hashes, mix, raw_bytes, runs, windows
+from starquay.llm.words import FOLD, SMALL_CHUNK_BYTES, chunks, hashes, mix, raw_bytes, runs, windows
 from starquay.staging import stage
 
 WINDOW = 8
@@ -240,7 +240,7 @@ def contaminated(
 
     def make(batches):
         for batch in batches:
-            for i, j in chunks(batch.column(1)):
+            for i, j in chunks(batch.column(1), SMALL_CHUNK_BYTES):
                 ids = batch.column(0)[i:j]
                 for row, at, hashed, slots in _windows_of(batch.column(1)[i:j], [n for n in sizes if n], known, window)[0]:
                     yield pa.RecordBatch.from_arrays(

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from starquay.llm.components import components
 from starquay.llm.filters import bloom, maybe_in
-from starquay.llm.words import chunks, list_array, mix, shingle_sets
+from starquay.llm.words import SMALL_CHUNK_BYTES, chunks, list_array, mix, shingle_sets
 from starquay.staging import stage
 
 COUNTER_BITS = 20
@@ -101,7 +101,7 @@ def _prints(df: DataFrame, size: int, num: int, den: int, bits: int) -> DataFram
 
     def make(batches):
         for batch in batches:
-            for i, j in chunks(batch.column(1)):
+            for i, j in chunks(batch.column(1), SMALL_CHUNK_BYTES):
                 value, offsets = shingle_sets(batch.column(1)[i:j], size)
                 n = np.diff(offsets)
                 row = np.repeat(np.arange(j - i), n)
@@ -136,7 +136,7 @@ def _sets_of(df: DataFrame, ids: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array(maybe_in(wanted, ids)))
-            for i, j in chunks(batch.column(1)):
+            for i, j in chunks(batch.column(1), SMALL_CHUNK_BYTES):
                 value, offsets = shingle_sets(batch.column(1)[i:j], size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[i:j], pa.array(np.diff(offsets)), list_array(value, offsets)],

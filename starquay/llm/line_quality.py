@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starquay.llm.words import FOLD, chunks, hashes, raw_bytes, runs
+from starquay.llm.words import FOLD, SMALL_CHUNK_BYTES, chunks, hashes, raw_bytes, runs
 
 # Labelled documents the model is fitted on at most; all documents are scored.
 TRAINING_DOCS = 4000
@@ -275,7 +275,7 @@ def score_quality(
     def make(batches):
         for batch in batches:
             texts = batch.column(batch.schema.names.index("text"))
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, SMALL_CHUNK_BYTES):
                 part = batch.slice(i, j - i)
                 held = part.columns if keep else [part.column(0)]
                 labels = part.schema.names if keep else ["doc_id"]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starquay.llm.words import chunks, hashes, mix, raw_bytes, runs
+from starquay.llm.words import SMALL_CHUNK_BYTES, chunks, hashes, mix, raw_bytes, runs
 from starquay.staging import stage
 
 # The patterns of the base findings. The third is a run of small hex digits.
@@ -96,6 +96,13 @@ _KIND[_TOKEN] = 4
 _KIND[97:123], _KIND[65:91], _KIND[48:58] = 1, 2, 3
 
 
+def _before(mask: np.ndarray) -> np.ndarray:
+    """How many are set before each place, and in all."""
+    sums = np.zeros(len(mask) + 1, np.int32 if len(mask) < 1 << 31 else np.int64)
+    np.cumsum(mask, dtype=sums.dtype, out=sums[1:])
+    return sums
+
+
 class _Sums:
     """Counts over any range of some bytes: of digits, capitals, symbols, changes between them,
     and of how surprising each byte is after the one before."""
@@ -106,12 +113,12 @@ class _Sums:
         change[1:] = kind[1:] != kind[:-1]
         # A capital before small letters is how words begin.
         change[1:] &= ~((kind[1:] == 1) & (kind[:-1] == 2))
-        self.of = [np.concatenate([[0], np.cumsum(mask)]) for mask in (kind == 3, kind == 2, kind == 4, change)]
-        surprise = np.zeros(len(data))
+        self.of = [_before(mask) for mask in (kind == 3, kind == 2, kind == 4, change)]
+        self.surprise = np.zeros(len(data) + 1)
         if pairs is not None and len(data):
             classes = _CLASS[data]
-            surprise[1:] = pairs[classes[:-1], classes[1:]]
-        self.surprise = np.concatenate([[0], np.cumsum(surprise)])
+            self.surprise[2:] = pairs[classes[:-1], classes[1:]]
+            np.cumsum(self.surprise, out=self.surprise)
 
     def numbers(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         size = (end - start).astype(float)
@@ -491,7 +498,7 @@ def find(texts: pa.Array) -> Found:
     long = end - start >= HEX_LENGTH
     for k, a, b in zip(row[long].tolist(), start[long].tolist(), end[long].tolist()):
         base[k].append((a, 2, b))
-    covered = np.zeros(len(data) + 1, np.int64)
+    covered = np.zeros(len(data) + 1, np.int32)
     values = []
     for k, spans in enumerate(base):
         spans.sort()
@@ -500,7 +507,7 @@ def find(texts: pa.Array) -> Found:
             covered[b] -= 1
             match = ASSIGN.match(whole, a, b) if kind == 0 else None
             values.append((k, a, match.start(2) if match else a, b))
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(covered[:-1]) > 0)])
+    covered = _before(np.cumsum(covered, dtype=covered.dtype, out=covered)[:-1] > 0)
     row, start, end = runs(_TOKEN[data], offsets)
     wide = end - start >= MIN_CANDIDATE
     row, start, end = row[wide], start[wide], end[wide]
@@ -550,13 +557,13 @@ def _labelled(docs: DataFrame, everything: bool) -> DataFrame:
                 of, low, high = _windows(start, end)
                 texts = found.offsets[row[of]], found.offsets[row[of] + 1]
                 classes = _inputs(found.data, *texts, low, high, np.where(low == start[of], blank[of], low))
-                lead = np.concatenate([[0], np.cumsum((found.data & 0xC0) != 0x80)])
+                lead = _before((found.data & 0xC0) != 0x80)
                 first = lead[found.offsets[row[of]]]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[i:j].take(pa.array(row[of])),
-                        pa.array(lead[low] - first),
-                        pa.array(lead[high] - first),
+                        pa.array(lead[low] - first, pa.int64()),
+                        pa.array(lead[high] - first, pa.int64()),
                         pa.array(label[of], mask=np.isnan(label[of])).cast(pa.int32()),
                         pa.array([c.astype(np.uint8).tobytes() for c in classes], pa.binary()),
                         pa.array(same[of]),
@@ -615,7 +622,7 @@ def scan(texts: pa.Array, net: Network) -> tuple[list[list[tuple[int, int, int]]
     """Base and all spans (start, kind, end) by row, in code points. A candidate inside base
     spans adds nothing; one that goes beyond them is judged as a whole."""
     found = find(texts)
-    lead = np.concatenate([[0], np.cumsum((found.data & 0xC0) != 0x80)])
+    lead = _before((found.data & 0xC0) != 0x80)
     first = lead[found.offsets]
     base = [[(int(lead[a] - first[k]), kind, int(lead[b] - first[k])) for a, kind, b in s] for k, s in enumerate(found.base)]
     spans = [list(s) for s in base]
@@ -648,7 +655,7 @@ def find_secrets(
 
     def make(batches):
         for batch in batches:
-            for i, j in chunks(batch.column(1)):
+            for i, j in chunks(batch.column(1), SMALL_CHUNK_BYTES):
                 base, spans = scan(batch.column(1)[i:j], net)
                 counts = [[sum(kind == k for _, kind, _ in s) for s in base] for k in range(3)]
                 yield pa.RecordBatch.from_arrays(
@@ -684,7 +691,7 @@ def mask_secrets(docs: DataFrame, mask: str = "[secret]", limit: int = TRAINING_
     def make(batches):
         for batch in batches:
             texts = batch.column(at)
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, SMALL_CHUNK_BYTES):
                 _, spans = scan(texts[i:j], net)
                 columns = batch.slice(i, j - i).columns
                 if any(spans):

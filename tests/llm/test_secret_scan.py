@@ -6,6 +6,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import texts
+from pyspark.sql import types as T
 
 from starquay.llm import secret_scan
 from starquay.llm.secret_scan import find_secrets, mask_secrets
@@ -222,3 +223,31 @@ def test_a_block_is_convolved_once_and_in_place():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 12 * secret_scan.BLOCK * len(net.bias) * 4
+
+
+class Given:
+    """Documents that hand out the function over batches instead of running it."""
+
+    def __init__(self, batch):
+        self.columns, self.batch = batch.schema.names, batch
+        self.schema = T.StructType([T.StructField(n, T.StringType()) for n in self.columns])
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, make, schema):
+        return list(make([self.batch]))
+
+
+def test_a_scan_of_many_texts_holds_the_numbers_of_few(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [texts.prose(rng, 300) + f' token = "{secret(rng)}"' for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], ["doc_id", "text"])
+    monkeypatch.setattr(secret_scan, "train", lambda *_: trained())
+    for run in (secret_scan.mask_secrets, secret_scan.find_secrets):
+        tracemalloc.start()
+        got = run(Given(batch))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(b.num_rows for b in got) == len(rows)
+        assert peak < 40e6
