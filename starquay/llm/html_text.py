@@ -74,12 +74,12 @@ _SENTENCE = re.compile(r"[.!?\u2026\u3002\uff01\uff1f][\"'\u201d\u2019\u00bb)]*(
 
 
 class Element:
-    __slots__ = ("tag", "parent", "items", "dropped", "named", "score", "length", "linked", "commas", "chars", "block", "inside", "doubtful")
+    __slots__ = ("tag", "parent", "items", "dropped", "named", "score", "brief", "length", "linked", "commas", "chars", "block", "inside", "doubtful")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str, by_name: bool = True):
         self.tag, self.parent = tag, parent
         self.items: list[Element | str] = []
-        self.score = 0.0
+        self.score = self.brief = 0.0
         self.length = self.linked = self.commas = self.chars = 0
         self.block = tag not in INLINE
         self.named = self.dropped = False
@@ -246,20 +246,26 @@ def best_parts(root: Element) -> list[Element]:
         own = any(isinstance(c, str) and c.strip() for c in node.items)
         if not (node.tag in ("p", "pre", "blockquote", "td", "li") or node.block and own) or not node.length:
             continue
-        points = 1 + node.commas + min(node.chars / 100, 3) if node.length >= MIN_PARAGRAPH else 0.2
+        long = node.length >= MIN_PARAGRAPH
+        points = 1 + node.commas + min(node.chars / 100, 3) if long else 0.2
         points *= (1 - _link_density(node)) * (DOUBT if node.doubtful else 1)
         up, share = node.parent if node.tag != "div" or node.parent is None else node, 1.0
         while up is not None and share > 0.05:
             if not up.score:
                 candidates.append(up)
                 up.score += 5 if up.named else 0.01
-            up.score += points * share
+            if long:
+                up.score += points * share
+            else:
+                up.brief += points * share
             share *= DOUBT if up.doubtful else 1
             up, share = up.parent, share / 2
     if not candidates:
         return [root] if root.length else []
     for node in candidates:
-        node.score *= 1 - _link_density(node)
+        # Long parts count, or the short ones where these are more.
+        base = 5 if node.named else 0.01
+        node.score = (base + max(node.score - base, node.brief)) * (1 - _link_density(node))
     best = max(candidates, key=lambda n: n.score)
     # An article around the best part, or else a main, is the container.
     around = [best]
